@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import canonical_text, split_overlap
+from pagemill.llm import canonical_text, lang_id, split_overlap
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,5 +32,20 @@ def p2_canonical(spark: SparkSession, d: str) -> DataFrame:
     return both.select("table_name", "ord", "canonical", canonical_text.mixed_tokens_udf("transcript").alias("mixed_tokens"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical)}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    preds = table(spark, d, "teacher_predictions")
+    return lang_id.wrong_labels(preds, lang_id.fit(preds, "ord"))
+
+
+def p3_languages(spark: SparkSession, d: str) -> DataFrame:
+    preds = table(spark, d, "teacher_predictions")
+    return lang_id.identify(preds, lang_id.fit(preds, "ord"), "ord", "transcript")
+
+
+def p3_documents(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return lang_id.identify(docs, lang_id.fit(docs, "doc_id", "text", **lang_id.DOCUMENTS), "doc_id", "text", enough=20)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents)}
 SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import canonical_text, lang_id, split_overlap
+from pagemill.llm import canonical_text, keep_together, lang_id, leakage, split_overlap
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,5 +47,25 @@ def p3_documents(spark: SparkSession, d: str) -> DataFrame:
     return lang_id.identify(docs, lang_id.fit(docs, "doc_id", "text", **lang_id.DOCUMENTS), "doc_id", "text", enough=20)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents)}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return keep_together.divided(table(spark, d, "dataset_manifest"))
+
+
+def p6_assignment(spark: SparkSession, d: str) -> DataFrame:
+    return keep_together.keep_together(table(spark, d, "dataset_manifest"))
+
+
+def p6_shares(spark: SparkSession, d: str) -> DataFrame:
+    return keep_together.shares(table(spark, d, "dataset_manifest"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leak_report(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p6_found, p6_assignment, p6_shares, p7_found, p7_report)}
 SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import canonical_text, keep_together, lang_id, leakage, mixture, split_overlap, survivor
+from pagemill.llm import batch_dedup, canonical_text, keep_together, lang_id, leakage, mixture, split_overlap, survivor
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,18 @@ def p3_documents(spark: SparkSession, d: str) -> DataFrame:
     return lang_id.identify(docs, lang_id.fit(docs, "doc_id", "text", **lang_id.DOCUMENTS), "doc_id", "text", enough=20)
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return batch_dedup.repeated(table(spark, d, "page_assets"))
+
+
+def p4_repeats(spark: SparkSession, d: str) -> DataFrame:
+    return batch_dedup.repeats(table(spark, d, "page_assets"))
+
+
+def p4_index(spark: SparkSession, d: str) -> DataFrame:
+    return batch_dedup.index_report(table(spark, d, "page_assets"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.best_rows(table(spark, d, "page_assets"))
 
@@ -83,5 +95,5 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture_shares(table(spark, d, "documents"), table(spark, d, "source_targets"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares)}
 SQL: dict[str, str] = {}

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.functions.text import strip
 from pagemill.llm.split_overlap import clean_split
 from pagemill.session import cut_lineage
 
@@ -24,7 +25,7 @@ TARGETS = {"train": 0.80, "val": 0.10, "test": 0.10}
 
 def clean_series(c: Column) -> Column:
     """One spelling: lower case, trimmed, ``-`` for ``_``; null for a blank one."""
-    s = F.translate(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), "_", "-")
+    s = F.translate(F.lower(strip(c)), "_", "-")
     return F.when(s != "", s)
 
 

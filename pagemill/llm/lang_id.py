@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.text import strip
 from pagemill.llm.canonical_text import canonical
 
 # Spellings of labels, and labels that say nothing.
@@ -55,10 +56,13 @@ def script_table() -> np.ndarray:
 
 def clean_label(c: Column) -> Column:
     """A label in lower case and one spelling; null if it says nothing."""
-    s = F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
-    for k, v in LABEL_SPELLING.items():
-        s = F.when(s == k, v).otherwise(s)
-    return F.when(~s.isin(*NO_LABEL), s)
+    spelling = F.create_map(*[F.lit(x) for kv in LABEL_SPELLING.items() for x in kv])
+
+    def one(s: Column) -> Column:
+        return F.when(~s.isin(*NO_LABEL), F.coalesce(F.element_at(spelling, s), s))
+
+    # a lambda variable, so that the text is stripped once and not at each mention
+    return F.get(F.transform(F.array(F.lower(strip(c))), one), F.lit(0))
 
 
 def flatten(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

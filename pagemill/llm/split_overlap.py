@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.text import strip
 from pagemill.llm.hamming import hamming_pairs, informative
 from pagemill.session import cut_lineage
 
@@ -20,7 +21,7 @@ def slash_path(c: Column) -> Column:
 
 def clean_split(c: Column) -> Column:
     """train, val or test; case and outer white space ignored, everything else null."""
-    s = F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
+    s = F.lower(strip(c))
     return F.when(s.isin("train", "val", "test"), s)
 
 

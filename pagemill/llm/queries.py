@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import batch_dedup, canonical_text, keep_together, lang_id, leakage, mixture, split_overlap, survivor
+from pagemill.llm import batch_dedup, canonical_text, keep_together, lang_id, leakage, mixture, split_overlap, survivor, truncation
 from pagemill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,5 +95,34 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture_shares(table(spark, d, "documents"), table(spark, d, "source_targets"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares)}
-SQL: dict[str, str] = {}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "documents"))
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.rates(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares, p9_found, p9_rates)}
+
+_CODE = "CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{16}') AND lower(trim(phash)) NOT IN ('0000000000000000', 'ffffffffffffffff') THEN ('0x' || lower(trim(phash)))::UBIGINT END"
+_SAME = "(a.sha = b.sha OR bit_count(xor(a.code, b.code)) <= 6)"
+
+#: SQL for the problems that SQL can express; it compares all pairs, so it is for small tables.
+SQL: dict[str, str] = {
+    "p1_found": f"""
+        WITH paths AS (SELECT replace(image_path, '\\', '/') AS path, lower(trim(split)) AS split FROM dataset_manifest),
+        side AS (SELECT path, max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS t, max(CASE WHEN split IN ('val', 'test') THEN 1 ELSE 0 END) AS e
+                 FROM paths WHERE split IN ('train', 'val', 'test') GROUP BY path),
+        img AS (SELECT DISTINCT replace(image_path, '\\', '/') AS path, lower(trim(sha256)) AS sha, {_CODE} AS code FROM page_assets),
+        k AS (SELECT side.path, t, e, sha, code FROM side JOIN img USING (path))
+        SELECT DISTINCT least(a.path, b.path) AS image_path_a, greatest(a.path, b.path) AS image_path_b
+        FROM k a JOIN k b ON a.t = 1 AND b.e = 1 AND {_SAME}""",
+    "p4_found": f"""
+        WITH r AS (SELECT ord, coalesce(batch_id, 0) AS batch, lower(trim(sha256)) AS sha, {_CODE} AS code FROM page_assets)
+        SELECT DISTINCT a.ord FROM r a JOIN r b ON a.batch >= 1 AND b.ord < a.ord AND {_SAME}""",
+    "p6_found": """
+        SELECT replace(lower(trim(series_id)), '_', '-') AS series_id FROM dataset_manifest
+        WHERE lower(trim(split)) IN ('train', 'val', 'test') AND trim(series_id) <> ''
+        GROUP BY 1 HAVING count(DISTINCT lower(trim(split))) > 1""",
+}

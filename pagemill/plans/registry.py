@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from pagemill.plans import evaluation, labeling
+
+_PARTS = (labeling, evaluation)
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+SQL = {k: v for part in _PARTS for k, v in part.SQL.items()}

@@ -2,7 +2,7 @@
 
 Method: graph index shards. The distinct codes of each history segment, and of each new batch,
 form a navigable small-world graph of their own; a shard's beam is widened until it finds what an
-exhaustive search of stated test queries finds, then doubled. A batch searches the shards before
+exhaustive search of stated test queries finds. A batch searches the shards before
 it and its own; all visited codes are ranked by their exact distance. Every ``fanout`` batches the
 shards of single batches are compacted into one. Rows with a known sha256 or an equal code need no
 search: they are found by their key. Shards are rows of a table (codes, links, beam, recall), so
@@ -22,9 +22,9 @@ from pagemill.session import cut_lineage
 
 #: Codes a shard is meant to hold; with more than MAX_SEGMENTS shards of history they grow instead,
 #: so that a query visits a bounded number of graphs of logarithmic depth.
-SHARD_CODES = 16_384
+SHARD_CODES = 131_072
 MAX_SEGMENTS = 64
-QUERY_BLOCK = 20_000
+QUERY_BLOCK = 8_000
 INDEX = "shard string, low_batch int, high_batch int, size int, codes binary, links binary, ords binary, beam int, recall double"
 
 
@@ -85,7 +85,7 @@ def build_index(codes: DataFrame, plan: list[tuple[str, int, int, int]], radius:
         g = nsw.build(pdf["code"].to_numpy(np.int64).view(np.uint64).copy())
         beam, recall = nsw.tune(g, radius)
         c, e = g.to_bytes()
-        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "low_batch": pdf["low"].iloc[:1], "high_batch": pdf["high"].iloc[:1], "size": len(pdf), "codes": [c], "links": [e], "ords": [pdf["ord"].to_numpy(np.int64).tobytes()], "beam": 2 * beam, "recall": recall})
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "low_batch": pdf["low"].iloc[:1], "high_batch": pdf["high"].iloc[:1], "size": len(pdf), "codes": [c], "links": [e], "ords": [pdf["ord"].to_numpy(np.int64).tobytes()], "beam": beam, "recall": recall})
 
     return member.groupBy("shard").applyInPandas(one, INDEX)
 
@@ -152,7 +152,7 @@ def repeated(assets: DataFrame) -> DataFrame:
 
 
 def index_report(assets: DataFrame, radius: int = 6, fanout: int = 5, shard_codes: int = SHARD_CODES) -> DataFrame:
-    """Per shard: batches, size, beam and its recall against exhaustive search (before doubling)."""
+    """Per shard: batches, size, beam and its recall against exhaustive search."""
     codes = cut_lineage(first_codes(page_rows(assets)), "p4-codes")
     sizes = {r["batch"]: r["n"] for r in codes.groupBy("batch").agg(F.count("*").alias("n")).collect()}
     return build_index(codes, shard_plan(sizes, fanout, shard_codes), radius).select("shard", "low_batch", "high_batch", "size", "beam", "recall")

@@ -3,7 +3,9 @@
 Points are inserted in blocks: the whole block searches the graph built so far with one beam per
 point, all beams advancing together, and the points of a block are compared with each other
 exactly. Every point keeps its links of insertion (early points thus keep long links, which make
-the graph navigable) and a bounded number of reverse links, the nearest.
+the graph navigable) and a bounded number of reverse links, the nearest. Every ``STRIDE``-th point
+is also an entry: a flat upper layer that is scanned, so that beams begin near their goal and need
+not grow with the graph.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LINKS = 14
-REVERSE = 18
+LINKS = 24
+REVERSE = 24
 BLOCK = 512
-ENTRIES = 64
+STRIDE = 8
 EXPAND = 4
 
 
@@ -42,13 +44,18 @@ def search(codes: np.ndarray, links: np.ndarray, n: int, queries: np.ndarray, be
     q = len(queries)
     near: list[tuple[np.ndarray, np.ndarray]] = []
     seen = np.zeros((q, n), dtype=bool)
-    d = np.bitwise_count(queries[:, None] ^ codes[entries][None, :]).astype(np.int16)
+    d = np.bitwise_count(queries[:, None] ^ codes[entries][None, :])
     seen[:, entries] = True
     width = beam + 1
     ids = np.full((q, width), -1, dtype=np.int32)
     dist = np.full((q, width), 255, dtype=np.int16)
+    # the nearest entry of each of ``beam`` groups: the nearest of all is among them
     k = min(beam, len(entries))
-    pick = np.argsort(d, axis=1, kind="stable")[:, :k]
+    m = -(-len(entries) // k)
+    k = -(-len(entries) // m)
+    padded = np.full((q, k * m), 255, dtype=np.uint8)
+    padded[:, : len(entries)] = d
+    pick = padded.reshape(q, k, m).argmin(axis=2) + np.arange(k) * m
     ids[:, :k] = entries[pick]
     dist[:, :k] = np.take_along_axis(d, pick, axis=1)
     if radius >= 0:
@@ -109,7 +116,7 @@ def search(codes: np.ndarray, links: np.ndarray, n: int, queries: np.ndarray, be
 
 
 def entry_points(n: int) -> np.ndarray:
-    return np.unique(np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64))
+    return np.arange(0, n, STRIDE)
 
 
 def build(codes: np.ndarray, beam: int = 48) -> Graph:
@@ -156,29 +163,34 @@ def build(codes: np.ndarray, beam: int = 48) -> Graph:
 
 
 def probes(codes: np.ndarray, radius: int, count: int, seed: int = 5) -> np.ndarray:
-    """Stated test queries: points of the graph with ``radius`` random bits flipped."""
+    """Stated test queries: points of the graph with 1 to ``radius`` random bits flipped."""
     rng = np.random.default_rng(seed)
     out = codes[rng.integers(0, len(codes), count)].copy()
-    for _ in range(radius):
-        out ^= np.uint64(1) << rng.integers(0, 64, count).astype(np.uint64)
+    flips = rng.integers(1, radius + 1, count)
+    bits = rng.permuted(np.tile(np.arange(64, dtype=np.uint64), (count, 1)), axis=1)
+    for k in range(radius):
+        out ^= np.where(k < flips, np.uint64(1) << bits[:, k], np.uint64(0))
     return out
 
 
-def tune(g: Graph, radius: int, target: float = 0.999, count: int = 512, most: int = 2048) -> tuple[int, float]:
-    """The smallest beam (doubled from 16) whose recall of the points within ``radius`` of the test
-    queries, found by exhaustive search, reaches the target; and that recall."""
+def tune(g: Graph, radius: int, target: float = 0.995, count: int = 1024, most: int = 2048) -> tuple[int, float]:
+    """The smallest beam (32, 48, 56 and so on) whose recall of the points within ``radius`` of
+    the test queries, found by exhaustive search, reaches the target; and that recall."""
     if not len(g.codes):
-        return 16, 1.0
+        return 32, 1.0
     q = probes(g.codes, radius, count)
-    truth = {(i, int(j)) for a in range(0, count, 64) for i, j in zip(*(lambda m: (m[0] + a, m[1]))(np.nonzero(np.bitwise_count(q[a : a + 64, None] ^ g.codes[None, :]) <= radius)))}
-    beam, recall = 16, 0.0
+    truth = set()
+    for a in range(0, count, 64):
+        i, j = np.nonzero(np.bitwise_count(q[a : a + 64, None] ^ g.codes[None, :]) <= radius)
+        truth |= set(zip((i + a).tolist(), j.tolist()))
+    beam = 32
     while True:
         beam = min(beam, len(g.codes))
-        found = neighbours(g, q, radius, beam)
-        recall = len(truth & set(zip(found[0].tolist(), found[1].tolist()))) / max(1, len(truth))
+        i, j = neighbours(g, q, radius, beam)
+        recall = len(truth & set(zip(i.tolist(), j.tolist()))) / max(1, len(truth))
         if recall >= target or beam >= min(most, len(g.codes)):
             return beam, recall
-        beam *= 2
+        beam += max(8, (beam & -beam) // 2)
 
 
 def neighbours(g: Graph, queries: np.ndarray, radius: int, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +198,7 @@ def neighbours(g: Graph, queries: np.ndarray, radius: int, beam: int | None = No
     n = len(g.codes)
     rows, points = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if n:
-        step = max(16, min(2048, 64_000_000 // n))  # the table of visited points stays below 64 MB
+        step = max(16, min(2048, 48_000_000 // n))  # visited points and entry distances stay below 100 MB
         for a in range(0, len(queries), step):
             _, _, near = search(g.codes, g.links, n, queries[a : a + step], min(n, beam or g.beam), entry_points(n), radius)
             for r, p in near:

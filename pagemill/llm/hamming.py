@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 BITS = 64
 #: The join keys per code and the candidates per probe it accepts before a longer key is taken.
-CANDIDATES_PER_PROBE = 64
+CANDIDATES_PER_PROBE = 300
 
 
 def code64(phash: Column) -> Column:

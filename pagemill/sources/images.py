@@ -118,10 +118,10 @@ def fingerprint(images: DataFrame, data: str = "content") -> DataFrame:
     grey = F.pandas_udf(_grey, "array<int>")
     ext = images.withColumn("extension", extension(d))
     is_jpeg = F.col("extension") == "jpg"
-    sized = ext.withColumn("j", jpeg(F.when(is_jpeg, d)))
+    sized = ext.withColumn("j", jpeg(F.when(is_jpeg, d))).withColumn("grey", grey(d))
     return sized.select(
         *[c for c in images.columns], F.sha2(d, 256).alias("sha256"), "extension",
-        F.coalesce(png_size(d)[0], webp_size(d)[0], F.col("j.width")).alias("width"), F.coalesce(png_size(d)[1], webp_size(d)[1], F.col("j.height")).alias("height"), perceptual_hash(grey(d)).alias("phash"),
+        F.coalesce(png_size(d)[0], webp_size(d)[0], F.col("j.width")).alias("width"), F.coalesce(png_size(d)[1], webp_size(d)[1], F.col("j.height")).alias("height"), perceptual_hash(F.col("grey")).alias("phash"),
     )
 
 

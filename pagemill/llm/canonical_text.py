@@ -24,7 +24,7 @@ from pyspark.sql.types import IntegerType, StringType
 # Look-alikes, the first of a line is the Latin letter.
 _LATIN = """
 a а α ɑ
-c с ϲ
+c с
 d ԁ
 e е
 g ɡ
@@ -45,7 +45,7 @@ x х χ
 y у γ ү
 A А Α Ꭺ
 B В Β Ᏼ
-C С Ϲ Ꮯ
+C С Ꮯ
 D Ꭰ
 E Е Ε Ꭼ
 F Ϝ
@@ -128,6 +128,7 @@ def systems(ch: str) -> frozenset[str] | None:
 _CLASS: dict[str, int] = {}
 _MEMBERS: list[list[str]] = []
 for _line in _lines(_LATIN) + _lines(_JAPANESE):
+    _line = [c for c in _line if unicodedata.normalize("NFKC", c) == c]  # others are gone before
     for _c in _line:
         _CLASS.setdefault(_c, len(_MEMBERS))
     _MEMBERS.append(_line)
@@ -145,6 +146,8 @@ _TOKEN = regex.compile(r"[\p{L}\p{M}]+")
 #: a look-alike, alone or composed with accents or voicing marks
 _DOUBLES = [c for c in map(chr, range(0x80, 0xFFFF)) if not unicodedata.category(c).startswith("C") and (d := unicodedata.normalize("NFD", c)[0]) in _CLASS and not d.isascii()]
 _SUSPECT = regex.compile("[" + "".join(regex.escape(c) for c in {*_DOUBLES, *(c for c in _CLASS if not c.isascii())}) + "]")
+_ASCII_LETTER = regex.compile(r"[A-Za-z]")
+_OTHER_LETTER = regex.compile(r"[^\P{L}\p{Latin}]")
 _MARK_SUSPECT = regex.compile("[" + "".join(regex.escape(chr(c)) for c in _MARK) + "]")
 
 
@@ -158,6 +161,12 @@ def resolve(token: str) -> tuple[frozenset[str], bool]:
     return common or frozenset(), common is not None and not common
 
 
+def _doubtful(t: str) -> bool:
+    """Whether a letter of the text may stand for another: a look-alike from outside ASCII, or one
+    inside it beside letters of another script."""
+    return bool(_SUSPECT.search(t) or (_ASCII_LETTER.search(t) and _OTHER_LETTER.search(t)))
+
+
 def _respell(token: str) -> str:
     classes = [_CLASS.get(c) for c in token]
     able: frozenset[str] | None = None
@@ -165,13 +174,9 @@ def _respell(token: str) -> str:
         s = systems(ch) if k is None else frozenset(_SPELL[k])
         if s is not None:
             able = s if able is None else able & s
-    # a mixed token that no one script can spell: each look-alike by the scripts of the sure letters
+    # in a mixed token that no one script can spell each look-alike takes the first that it can
     target = next((s for s in _PREFERENCE if s in able), None) if able else None
-    if target is None:
-        sure = [s for ch, k in zip(token, classes) if k is None for s in (systems(ch) or ())]
-        order = [s for s in _PREFERENCE if s in sure] + list(_PREFERENCE)
-    else:
-        order = [target]
+    order = [target] if target else list(_PREFERENCE)
     def sure_script(j: int) -> str | None:
         """The script of a letter that has no double, or that a voicing mark proves to be kana."""
         if classes[j] is None:
@@ -180,6 +185,17 @@ def _respell(token: str) -> str:
         voiced = j + 1 < len(token) and token[j + 1] in "\u3099\u309a"
         return "Katakana" if voiced and "Hiragana" not in _KANA_SPELL[classes[j]] else None
 
+    # the nearest sure letter on either side, in two passes, so a long token costs its length
+    n = len(token)
+    before: list[tuple[int, str | None]] = [(n + 1, None)] * n
+    after_: list[tuple[int, str | None]] = [(n + 1, None)] * n
+    if "Jpan" in order:
+        for side, steps in ((before, range(n)), (after_, range(n - 1, -1, -1))):
+            last: tuple[int, str | None] = (-2 * n, None)
+            for j in steps:
+                if (found := sure_script(j)) is not None:
+                    last = (j, found)
+                side[j] = (abs(j - last[0]), last[1])
     out = []
     for i, (ch, k) in enumerate(zip(token, classes)):
         if k is None:
@@ -190,7 +206,7 @@ def _respell(token: str) -> str:
             out.append(_SPELL[k][sys] if sys else _MEMBERS[k][0])
             continue
         # within Japanese: the script of the nearest letter that has no double, left before right
-        near = sure_script(i) or next((s for d in range(1, len(token)) for j in (i - d, i + d) if 0 <= j < len(token) and (s := sure_script(j))), None)
+        near = min(before[i], after_[i], key=lambda x: x[0])[1]
         if k == _LONG:  # the long mark follows kana and is not followed by kanji, the numeral is else
             after = i + 1 < len(token) and sure_script(i + 1) == "Han"
             near = "Katakana" if i and script(out[-1]) in ("Hiragana", "Katakana") and not after else "Han"
@@ -206,9 +222,9 @@ def canonical(text: str | None) -> str | None:
     if text.isascii() and text.isprintable():
         return text if not ("`" in text) else text.replace("`", "'")
     t = unicodedata.normalize("NFKC", text.translate(_FIRST)).translate(_FIRST)
-    if _SUSPECT.search(t):
+    if _doubtful(t):
         t = unicodedata.normalize("NFD", t)
-        t = _TOKEN.sub(lambda m: _respell(m[0]) if _SUSPECT.search(m[0]) else m[0], t)
+        t = _TOKEN.sub(lambda m: _respell(m[0]) if _doubtful(m[0]) else m[0], t)
     if _MARK_SUSPECT.search(t):
         t = t.translate(_MARK)
     return unicodedata.normalize("NFC", t)

@@ -13,6 +13,7 @@ scoring covers every row and every letter.
 
 from __future__ import annotations
 
+import math
 import sys
 import unicodedata
 from collections.abc import Iterator
@@ -168,8 +169,8 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (2, 3),
     """Fit the model on labelled texts; a fifth of them is held out for temperature and threshold.
 
     The threshold is the ``reject`` quantile of the confidence on held-out texts whose label agrees
-    with the model, so about that share of right texts is given up. No labelled text at all gives a
-    model with no labels that finds no stretches.
+    with the model, so about that share of right texts is given up. Without any labelled text the
+    only label is ``und``.
     """
     names = sorted(set(labels))
     m = LangModel(names, orders, bits, window, min_run, table=np.zeros((1 << bits, max(1, len(names))), np.float32))
@@ -248,13 +249,10 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (2, 3),
 
 def fit(df: DataFrame, key: str, text: str = "transcript", label: str = "lang", keep: tuple[str, ...] = ("ja", "ko", "latin"), sample_rows: int = 6000, **kw) -> LangModel:
     """Train on at most ``sample_rows`` rows with one of the labels ``keep``, chosen by hash of the key."""
-    rows = (
-        df.select(F.col(text).alias("t"), clean_label(F.col(label)).alias("l"), F.xxhash64(F.col(key).cast("string"), F.lit("lang")).alias("h"))
-        .where(F.col("t").isNotNull() & F.col("l").isin(*keep))
-        .orderBy("h", "t")
-        .limit(sample_rows)
-        .collect()
-    )
+    labelled = df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), clean_label(F.col(label)).alias("l")).where(F.col("t").isNotNull() & F.col("l").isin(*keep))
+    share = min(1.0, 2 * sample_rows / max(1, labelled.count()))  # what is sorted and sent to the driver stays bounded
+    drawn = labelled.withColumn("h", F.xxhash64("k", F.lit("lang"))).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1_000_000))
+    rows = drawn.orderBy("h", "t").limit(sample_rows).collect()
     return train([canonical(r["t"]) for r in rows], [r["l"] for r in rows], **kw)
 
 
@@ -265,7 +263,7 @@ SEGMENTS = "array<struct<start:int,end:int,lang:string,confidence:double,accepte
 
 
 def identify(df: DataFrame, model: LangModel, key: str, text: str, enough: int = 4) -> DataFrame:
-    """(key, lang, confidence, segments): one row per input row.
+    """(key, lang, confidence, segments): one row per input row that has a key.
 
     A language is in a text if its stretches hold at least ``enough`` letters or, if none does, if
     it has the most. lang is that language, ``mixed`` for several, ``und`` if the text is null or
@@ -294,7 +292,7 @@ def identify(df: DataFrame, model: LangModel, key: str, text: str, enough: int =
             yield pd.DataFrame({"k": pdf["k"], "lang": lang, "confidence": conf, "segments": [[x for _, x in segs] for segs in per]})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, lang string, confidence double, segments {SEGMENTS}").withColumnRenamed("k", key)
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, lang string, confidence double, segments {SEGMENTS}").withColumnRenamed("k", key)
 
 
 def languages(df: DataFrame, model: LangModel, key: str, text: str, carry: str) -> DataFrame:
@@ -320,7 +318,7 @@ def languages(df: DataFrame, model: LangModel, key: str, text: str, carry: str)
             yield pd.DataFrame({"k": pdf["k"].to_numpy()[r], "carry": pdf["carry"].to_numpy()[r], "lang": np.array(m.labels, dtype=object)[lab], "letters": found[r, lab], "script_letters": np.where(at >= 0, own[r, at], 0), "most": own.max(axis=1)[r]})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("k"), F.col(carry).alias("carry"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, carry string, lang string, letters long, script_letters long, most long").withColumnRenamed("k", key)
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(carry).alias("carry"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, carry string, lang string, letters long, script_letters long, most long").withColumnRenamed("k", key)
 
 
 def wrong_labels(df: DataFrame, model: LangModel, key: str = "ord", text: str = "transcript", label: str = "lang", enough: int = 4) -> DataFrame:

@@ -180,7 +180,7 @@ def item_blocks(items: DataFrame, item: str, text: str, block_letters: int) -> I
     ids: list = []
     texts: list[str] = []
     size = 0
-    for r in items.select(F.col(item).alias("i"), F.col(text).alias("t")).toLocalIterator():
+    for r in items.where(F.col(item).isNotNull()).select(F.col(item).alias("i"), F.col(text).alias("t")).toLocalIterator():
         t = letters_only(r["t"])
         if ids and size + len(t) > block_letters:
             yield ids, texts
@@ -198,12 +198,12 @@ def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "i
     longest_run is the longest identical stretch found, covered the letters of the item inside
     verified windows. Every common stretch of ``min_run`` letters is found; shorter or edited ones
     are found as far as the LSH brings up one of their windows. Texts that are null, empty or
-    shorter than a window match nothing; repeated rows each give their own. Whole texts are read.
+    shorter than a window, and rows without an id, match nothing; repeated rows each give their own. Whole texts are read.
     """
     spark = docs.sparkSession
     kinds = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"{doc} {kinds[0]}, {item} {kinds[1]}, longest_run int, covered int, item_letters int"
-    source = docs.where(F.col(text).isNotNull()).select(F.col(doc).alias("d"), F.col(text).alias("t"))
+    source = docs.where(F.col(text).isNotNull() & F.col(doc).isNotNull()).select(F.col(doc).alias("d"), F.col(text).alias("t"))
     emb = Embedding(window, samples, repetitions)
     out = None
     for ids, texts in item_blocks(items, item, text, block_letters):

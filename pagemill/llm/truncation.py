@@ -243,7 +243,7 @@ def train(values: list[tuple[str, str | None]], st: Statistics, epochs: int = 6,
                 held.append(i % 5 == 0)
     w = np.zeros(1 << BITS)
     if not feats:
-        return CutModel(w, 0.5, {})
+        return CutModel(w, 2.0, {})  # without intact values nothing is called truncated
     size = np.array([len(f) for f in feats])
     start = np.concatenate([[0], np.cumsum(size)])
     flat = np.concatenate([np.array(f, dtype=np.int64) for f in feats])
@@ -298,7 +298,9 @@ def limits(docs: DataFrame, text: str, source: str, pile: float = 8.0, least: in
     # a byte limit cuts at up to three bytes less: windows of 4 against the 40 lengths around
     near = each.select("s", "unit", "c", F.explode(F.when(F.col("unit") == "bytes", F.sequence(F.col("n"), F.col("n") + 3)).otherwise(F.array("n"))).alias("n")).groupBy("s", "unit", "n").agg(F.sum("c").alias("c"))
     around = each.select("s", "unit", "c", F.explode(F.sequence(F.col("n") - 20, F.col("n") + 20)).alias("n")).groupBy("s", "unit", "n").agg(F.sum("c").alias("all"))
-    piles = near.join(around, ["s", "unit", "n"]).where((F.col("c") >= least) & (F.col("c") * F.when(F.col("unit") == "bytes", 41 / 4).otherwise(41.0) >= pile * (F.col("all") + 1)) & (F.col("c") * 2 > F.col("all")))
+    width = F.when(F.col("unit") == "bytes", 4.0).otherwise(1.0)
+    usual = (F.col("all") - F.col("c") + 1) / (41.0 - width) * width
+    piles = near.join(around, ["s", "unit", "n"]).where((F.col("c") >= least) & (F.col("c") >= pile * usual))
     for r in piles.orderBy("s", "unit", "n").collect():
         out.setdefault(r["s"], []).append((r["unit"], r["n"]))
     return out
@@ -318,7 +320,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 
 def scored(docs: DataFrame, model: CutModel, st: Statistics, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, source, probability, truncated) of every row. A null or blank text is not truncated."""
+    """(key, source, probability, truncated) of every row with a key. A null or blank text is not
+    truncated, a null source has no limits; repeated rows are each scored."""
     b = docs.sparkSession.sparkContext.broadcast((model, st))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -330,7 +333,7 @@ def scored(docs: DataFrame, model: CutModel, st: Statistics, key: str = "doc_id"
             yield pd.DataFrame({"k": pdf["k"], "s": pdf["s"], "probability": p, "truncated": p >= m.threshold})
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, s string, probability double, truncated boolean")
+    out = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(source).alias("s"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, s string, probability double, truncated boolean")
     return out.withColumnRenamed("k", key).withColumnRenamed("s", source)
 
 

@@ -71,7 +71,7 @@ Z Ζ Ꮓ
 """
 # Katakana, and the kanji, hiragana or bopomofo that looks the same.
 _JAPANESE = """
-ー 一 ㇐
+ー 一
 ニ 二
 ハ 八
 タ 夕
@@ -111,8 +111,8 @@ _SCRIPTS = {s: regex.compile(rf"\p{{Script={s}}}") for s in ("Latin", "Han", "Hi
 
 
 def script(ch: str) -> str:
-    if ch in "ー㇐":
-        return "Katakana" if ch == "ー" else "Han"
+    if ch == "ー":
+        return "Katakana"
     for name, p in _SCRIPTS.items():
         if p.match(ch):
             return name

@@ -16,6 +16,13 @@ def bounding_box(polygon: Column) -> Column:
     return F.when(F.size(polygon) > 0, box(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)))
 
 
+def parse_polygon(text: Column) -> Column:
+    """A polygon from JSON text, its points as ``{"x":, "y":}`` or ``[x, y]``; null for null or other."""
+    pairs = F.from_json(text, "array<array<double>>")
+    listed = F.transform(pairs, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    return F.when(F.regexp_replace(text, r"\s", "").startswith("[["), listed).otherwise(F.from_json(text, "array<struct<x:double,y:double>>"))
+
+
 def rectangle(b: Column) -> Column:
     """The four corners of a box, clockwise from the top left."""
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))

@@ -102,6 +102,25 @@ def ls_task_json(spark: SparkSession, d: str) -> DataFrame:
     return annotation.as_json(_tasks(spark, d))
 
 
+def gold_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks of a gold batch with their rank and mode."""
+    batch = review.gold_batch(_a(spark, d), _p(spark, d), page_limit=500).join(review.catalog(_a(spark, d)).select("asset_id", "width", "height"), "asset_id").withColumnRenamed("split", "target_split")
+    extra = ("target_split", "review_mode", "review_priority", "priority_reasons", "preannotated_lines", "gold_batch_rank")
+    return annotation.as_json(annotation.tasks(batch, predictions.by_asset(_p(spark, d)), extra))
+
+
+def exception_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Tasks of the pages that review by exception sends to a person."""
+    routed = review.route_pages(_a(spark, d), _p(spark, d)).where("route in ('review', 'audit')")
+    extra = ("route", "review_score", "reasons", "accepted_predictions", "rejected_predictions", "preannotated_lines", "sample_score")
+    return annotation.as_json(annotation.tasks(routed, predictions.by_asset(_p(spark, d)), extra))
+
+
+def image_keys(spark: SparkSession, d: str) -> DataFrame:
+    """All images that predictions or gold lines name."""
+    return _p(spark, d).select("image_path").union(table(spark, d, "gold_lines").select("image_path")).distinct()
+
+
 def ls_export_regions(spark: SparkSession, d: str) -> DataFrame:
     """Tasks turned to records again: text, labels and the first point come back."""
     t = _tasks(spark, d)
@@ -227,7 +246,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         catalog_scan, catalog_point, catalog_lookup_sha, catalog_lookup_ids, catalog_decode, catalog_upsert, asset_ids, content_dedup, asset_filter, chapter_status, ingest_summary, stream_ingest,
-        ls_task_points, ls_task_items, ls_task_json, ls_export_regions, ls_image_url, words_to_lines, lang_infer, lenient_parse, box_decode, nms, crop_windows, project_polygons, magic_extension, png_size,
+        ls_task_points, ls_task_items, ls_task_json, gold_tasks, exception_tasks, image_keys, ls_export_regions, ls_image_url, words_to_lines, lang_infer, lenient_parse, box_decode, nms, crop_windows, project_polygons, magic_extension, png_size,
         store_paths, chapter_pages, teacher_run, teacher_failures, cycle_summary,
     )
 }
@@ -292,6 +311,7 @@ SQL = {
     "ls_export_regions": f"""WITH {_LINES}, z AS (SELECT *, {strip_sql("transcript")} AS t FROM j)
         SELECT page_path AS image_path, page_series AS series_id, t AS transcript, coalesce(lang, 'mixed') AS lang, direction, text_type, {split_sql("page_series")} AS split, 'teacher' AS source, 0e0 AS confidence,
             floor((({_PX} / 100e0) * w) * 1000e0 + 0.5e0) / 1000e0 AS x, floor((({_PY} / 100e0) * h) * 1000e0 + 0.5e0) / 1000e0 AS y FROM z WHERE t <> ''""",
+    "image_keys": "SELECT image_path FROM teacher_predictions UNION SELECT image_path FROM gold_lines",
     "ls_image_url": """SELECT ord, 'https://images.example/' || regexp_extract(image_path, '[^/]*$') AS url,
         '/data/local-files/?d=' || replace(url_encode(replace(image_path, '/raw/', '/raw & new/')), '%2F', '/') AS local FROM page_assets""",
     "words_to_lines": f"""WITH bx AS (SELECT ord, {box_sql("teacher_predictions")} FROM teacher_predictions),

@@ -171,6 +171,16 @@ def info_chapters(feed: DataFrame, payload: str = "payload", limit: int | None =
     return rows.select("series_id", "series_title", "status", "position", non_blank(F.col("c.id")).alias("chapter_id"), F.col("c.title").alias("chapter_title"), F.coalesce("c.isNew", F.lit(False)).alias("is_new")).where("chapter_id is not null")
 
 
+def latest_chapters(latest: DataFrame, info: DataFrame) -> DataFrame:
+    """The first chapter of each series of a landed latest feed, with merged metadata: a field of the
+    latest feed if it says something, else that of the series."""
+    first = info_chapters(info, limit=1)
+    pick = lambda a, b: F.coalesce(non_blank(F.col(a)), F.col(b))
+    return latest_items(latest).alias("l").join(first.alias("f"), F.col("l.id") == F.col("f.series_id")).select(
+        "f.series_id", "f.chapter_id", pick("l.title", "f.series_title").alias("title"), pick("l.status", "f.status").alias("status"), pick("l.last_chapter", "f.chapter_title").alias("last_chapter"), "l.last_update",
+    )
+
+
 def read_pages(feed: DataFrame, chapter: str = "chapter_id", payload: str = "payload") -> DataFrame:
     """The pages of landed ``/read`` payloads; the series is what stands before the first slash."""
     p = feed.select(chapter, F.from_json(payload, f"struct<{FEED_PAGES.replace(' array', ':array').replace(' string', ':string')}>").alias("p"))

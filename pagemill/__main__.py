@@ -14,7 +14,7 @@ from pagemill.operators import annotation, catalog, evaluate, predictions, revie
 from pagemill.operators.predictor import failures_of, predictions_of, run_predictor
 from pagemill.plans.cycle import dataset_bundle, label_cycle, load_config, training_plan
 from pagemill.schemas import PAGE_ASSET
-from pagemill.session import get_session
+from pagemill.session import get_session, release_cuts
 from pagemill.sources import feeds, files, images
 
 
@@ -183,7 +183,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, Any]:
     a = parser().parse_args(argv)
-    out = a.run(spark or get_session(), a)
+    session = spark or get_session()
+    try:
+        out = a.run(session, a)
+    finally:
+        release_cuts(session)
     print(json.dumps(out, ensure_ascii=False, indent=2, default=str))
     return out
 

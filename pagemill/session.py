@@ -47,6 +47,21 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+def _cuts(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pagemill/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release_cuts(spark: SparkSession) -> None:
+    """Delete all tables that :func:`cut_lineage` wrote for this application; frames that still
+    start from them can't be read afterwards."""
+    _delete(spark, _cuts(spark))
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -54,7 +69,7 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     often it is used, and has known sizes, so the planner can choose its joins from facts.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/pagemill/{name}-{uuid.uuid4().hex}"
+    path = f"{_cuts(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._pagemill_path = path
@@ -65,9 +80,7 @@ def drop_cut(df: DataFrame) -> None:
     """Delete the files behind a frame from :func:`cut_lineage`; others are left alone."""
     path = getattr(df, "_pagemill_path", None)
     if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

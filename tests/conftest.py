@@ -12,10 +12,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from pagemill.session import get_session
+    from pagemill.session import get_session, release_cuts
 
     s = get_session("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
     yield s
+    release_cuts(s)
     s.stop()
 
 

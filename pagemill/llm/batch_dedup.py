@@ -11,9 +11,11 @@ a stored index serves any number of later batches without reading the history ag
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import nsw
@@ -156,3 +158,98 @@ def index_report(assets: DataFrame, radius: int = 6, fanout: int = 5, shard_code
     codes = cut_lineage(first_codes(page_rows(assets)), "p4-codes")
     sizes = {r["batch"]: r["n"] for r in codes.groupBy("batch").agg(F.count("*").alias("n")).collect()}
     return build_index(codes, shard_plan(sizes, fanout, shard_codes), radius).select("shard", "low_batch", "high_batch", "size", "beam", "recall")
+
+
+class StoredIndex:
+    """The index as tables under a folder that all executors share, fed batch by batch.
+
+    ``keys``: (sha, code, ord) of what was accepted, a folder per batch; ``shards``: the graphs, a
+    folder per shard. ``accept`` searches the shards that stand for the batches before, adds the
+    batch's own, and after every ``fanout`` batches compacts their shards into one and removes the
+    singles. History is read only as graphs, and as the two key columns for exact repeats; its
+    graphs are never built again. A batch that is given again (after a failure) is written again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, radius: int = 6, fanout: int = 5, shard_codes: int = SHARD_CODES):
+        self.spark, self.path, self.radius, self.fanout, self.shard_codes = spark, path.rstrip("/"), radius, fanout, shard_codes
+
+    def _list(self, kind: str) -> list[str]:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}")
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _drop(self, name: str) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    def plan(self) -> list[tuple[str, int, int, int]]:
+        """The stored shards: name, first and last batch, parts."""
+        out = []
+        for name in self._list("shards"):
+            shard, low, high, parts = name.rsplit("_", 3)
+            out.append((shard, int(low), int(high), int(parts)))
+        return out
+
+    def _folder(self, shard: tuple[str, int, int, int]) -> str:
+        return f"{self.path}/shards/{'_'.join(map(str, shard))}"
+
+    def _keys(self, before: int) -> DataFrame:
+        names = [n for n in self._list("keys") if int(n.split("=")[1]) < before]
+        schema = "sha string, code bigint, ord bigint"
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/keys/{n}" for n in names]) if names else self.spark.createDataFrame([], schema)
+
+    def _add(self, codes: DataFrame, shard: str, low: int, high: int) -> None:
+        n = codes.count()
+        if n:
+            one = (shard, low, high, max(1, -(-n // self.shard_codes)))
+            build_index(codes, [one], self.radius).write.mode("overwrite").parquet(self._folder(one))
+
+    def accept(self, assets: DataFrame, batch: int) -> DataFrame:
+        """(ord, batch, match_ord, kind) of the rows of one batch, which then belong to the index.
+        Batch 0 is the history: it is indexed, and all of it comes out as ``history``."""
+        rows = cut_lineage(page_rows(assets).withColumn("batch", F.lit(batch)), "p4-batch")
+        rows.select("sha", "code", "ord").write.mode("overwrite").parquet(f"{self.path}/keys/batch={batch}")
+        old = self._keys(batch)
+        old_codes = old.where("code is not null").groupBy("code").agg(F.min("ord").alias("o"))
+        own = first_codes(rows)
+        fresh = cut_lineage(own.join(old_codes, "code", "left_anti"), "p4-fresh")  # codes that no graph holds yet
+        self._add(fresh, "h" if batch == 0 else f"b{batch}", batch, batch)
+        if batch == 0:
+            return rows.select("ord", "batch", F.lit(None).cast("bigint").alias("match_ord"), F.lit("history").alias("kind"))
+        shas = old.where("sha is not null").select("sha", "ord").unionByName(rows.where("sha is not null").select("sha", "ord")).join(rows.select("sha").distinct(), "sha", "left_semi").groupBy("sha").agg(F.min("ord").alias("sha_ord"))
+        codes = old_codes.select("code", F.col("o").alias("code_ord")).unionByName(own.select("code", F.col("ord").alias("code_ord"))).join(own.select("code"), "code", "left_semi").groupBy("code").agg(F.min("code_ord").alias("code_ord"))
+        before = lambda c: F.when(F.col(c) < F.col("ord"), F.col(c)).alias(c)
+        new = cut_lineage(rows.join(shas, "sha", "left").join(codes, "code", "left").select("ord", "batch", "code", before("sha_ord"), before("code_ord")), "p4-new")
+        plan = [s for s in self.plan() if s[2] <= batch]
+        near = self._search(new.where("code is not null and sha_ord is null and code_ord is null").select("code", "ord", "batch"), plan, batch)
+        kind = F.when(F.col("sha_ord").isNotNull(), "sha256").when(F.col("code_ord").isNotNull(), "phash").when(F.col("match_ord").isNotNull(), "near").otherwise("new")
+        out = cut_lineage(new.join(near, "ord", "left").select("ord", "batch", F.coalesce("sha_ord", "code_ord", "match_ord").alias("match_ord"), kind.alias("kind")), "p4-out")
+        if batch % self.fanout == 0:
+            self.compact(batch - self.fanout + 1, batch)
+        return out
+
+    def _search(self, queries: DataFrame, plan: list[tuple[str, int, int, int]], batch: int) -> DataFrame:
+        held = [s for s in plan if s[0] in visits(plan, batch, self.fanout)]
+        if not held:
+            return self.spark.createDataFrame([], "ord long, match_ord long")
+        index = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in held])
+        # the batch may have no shard of its own, if all its codes are known
+        asked = held if any(s[0] == f"b{batch}" for s in held) else [*held, (f"b{batch}", batch, batch, 0)]
+        return search_index(index, queries, asked, self.fanout, self.radius)
+
+    def compact(self, low: int, high: int) -> None:
+        """One shard for a run of batches, from the codes that their graphs hold."""
+        singles = [s for s in self.plan() if s[0][0] == "b" and low <= s[1] <= high]
+        if not singles:
+            return
+
+        def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for c, o, b in zip(pdf["codes"], pdf["ords"], pdf["low_batch"]):
+                    yield pd.DataFrame({"code": np.frombuffer(c, np.int64), "ord": np.frombuffer(o, np.int64), "batch": b})
+
+        stored = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in singles])
+        codes = cut_lineage(stored.select("codes", "ords", "low_batch").mapInPandas(unpack, "code bigint, ord bigint, batch int"), "p4-compact")
+        self._add(codes, f"c{low}-{high}", low, high)
+        for s in singles:
+            self._drop(f"shards/{'_'.join(map(str, s))}")

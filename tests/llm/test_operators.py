@@ -239,6 +239,28 @@ def test_shards_cover_everything_before_a_batch():
     assert batch_dedup.shard_plan({}, 5, 30) == []
 
 
+def test_stored_index_gives_the_same_batch_by_batch(spark, tmp_path):
+    rng = random.Random(44)
+    base = [rng.getrandbits(64) for _ in range(60)]
+    rows = []
+    for i in range(300):
+        batch = 0 if i < 120 else 1 + (i - 120) // 15
+        c = rng.choice(base) if rng.random() < 0.4 else rng.getrandbits(64)
+        rows.append(asset(i, f"{flip(c, rng.choice([0, 0, 2, 6]), rng):016x}" if rng.random() < 0.9 else None, f"sha{rng.randint(0, 250)}", batch_id=batch))
+    a = assets(spark, *rows)
+    want = {r["ord"]: (r["match_ord"] is not None) for r in batch_dedup.repeats(a).collect()}
+    index, got = batch_dedup.StoredIndex(spark, str(tmp_path / "index"), fanout=3, shard_codes=40), {}
+    for b in range(13):
+        out = index.accept(a.where(F.col("batch_id") == b), b)
+        got |= {r["ord"]: r["match_ord"] is not None for r in out.collect() if b}
+        if b == 4:
+            again = {r["ord"]: r["match_ord"] is not None for r in index.accept(a.where("batch_id = 4"), 4).collect()}
+            assert all(got[k] == v for k, v in again.items())  # a repeated delivery of the batch itself
+    assert got == want
+    names = [s[0] for s in index.plan()]
+    assert "h" in names and "c1-3" in names and "c10-12" in names and not any(n.startswith("b") for n in names)
+
+
 # problem 5
 
 

@@ -267,23 +267,34 @@ def iou(a: str, b: str) -> Column:
     return F.when(union > 0, w * h / union).otherwise(0.0)
 
 
+#: Side of the grid cells of a page, in pixels.
+CELL = 256.0
+
+
 def same_look_lines(preds: DataFrame, gold: DataFrame, min_iou: float = 0.5) -> DataFrame:
     """(pred_ord, gold_ord): lines at one place whose stored texts differ but look the same.
 
-    The canonical form is part of the join key, so a page with very many lines, or one that holds
-    a third of them, yields only pairs of equal look, never all pairs of the page. Null image
-    paths, transcripts or polygons match nothing; repeated rows each give their pairs.
+    The canonical form and the place are part of the join key, so a page with very many lines, or
+    one text on a third of them, yields only pairs of equal look that lie near each other. Boxes
+    that share half of their union share more than half of each side, so the centre of one is
+    inside the other: a prediction stands in the grid cell of its centre, a gold line in every cell
+    it touches, and each pair meets in one cell. Below 0.5 the page is one cell. Null image paths,
+    transcripts or polygons match nothing; repeated rows each give their pairs.
     """
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        rows = df.where("image_path is not null and transcript is not null").select("image_path", "ord", "transcript", *bbox(F.col("polygon")))
-        return with_canonical(rows).select("*", F.xxhash64("image_path", "canonical").alias("look")).alias(name)
-
-    pages = gold.select("image_path").distinct()
-    p, g = side(preds.join(pages, "image_path", "left_semi"), "p"), side(gold, "g")
-    on = (F.col("p.look") == F.col("g.look")) & (F.col("p.canonical") == F.col("g.canonical")) & (F.col("p.image_path") == F.col("g.image_path"))
+    def side(df: DataFrame) -> DataFrame:
+        rows = df.where("image_path is not null and transcript is not null").select("image_path", "ord", "transcript", *bbox(F.col("polygon"))).where("x1 is not null")
+        return with_canonical(rows)
+
+    cell = lambda v: F.floor(v / CELL) if min_iou >= 0.5 else F.lit(0).cast("bigint")
+    look = F.xxhash64("image_path", "canonical", "cx", "cy").alias("look")
+    p = side(preds.join(gold.select("image_path").distinct(), "image_path", "left_semi"))
+    p = p.withColumn("cx", cell((F.col("x1") + F.col("x2")) / 2)).withColumn("cy", cell((F.col("y1") + F.col("y2")) / 2))
+    g = side(gold).withColumn("cx", F.explode(F.sequence(cell(F.col("x1")), cell(F.col("x2"))))).withColumn("cy", F.explode(F.sequence(cell(F.col("y1")), cell(F.col("y2")))))
+    p, g = p.select("*", look).alias("p"), g.select("*", look).alias("g")
+    same = [F.col(f"p.{c}") == F.col(f"g.{c}") for c in ("look", "canonical", "image_path", "cx", "cy")]
     return (
-        p.join(g, on)
+        p.join(g, same)
         .where((F.col("p.transcript") != F.col("g.transcript")) & (iou("p", "g") >= min_iou))
         .select(F.col("p.ord").alias("pred_ord"), F.col("g.ord").alias("gold_ord"))
     )

@@ -248,8 +248,9 @@ mixed_tokens_udf = F.pandas_udf(_script_report, IntegerType())
 
 
 def with_canonical(df: DataFrame, text: str = "transcript", out: str = "canonical") -> DataFrame:
-    """``df`` plus the canonical form of one column. Map-only: no shuffle, one Arrow pass."""
-    return df.withColumn(out, canonical_udf(F.col(text)))
+    """``df`` plus the canonical form of one column. Map-only: no shuffle, one Arrow pass (declared
+    nondeterministic, else a filter on the form would compute it a second time)."""
+    return df.withColumn(out, canonical_udf.asNondeterministic()(F.col(text)))
 
 
 def bbox(polygon: Column) -> list[Column]:

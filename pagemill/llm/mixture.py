@@ -43,7 +43,8 @@ def token_count(text: str, tokenizer: str = TOKENIZER):
         for texts in batches:
             yield pd.Series([len(enc.encode_ordinary(t)) if t else 0 for t in texts], index=texts.index, dtype="int64")
 
-    return F.pandas_udf(count, LongType())(F.col(text))
+    # nondeterministic in name only: else a filter on the count would encode every text twice
+    return F.pandas_udf(count, LongType()).asNondeterministic()(F.col(text))
 
 
 def sainte_lague(weights: list[float], seats: int, caps: list[int]) -> list[int]:

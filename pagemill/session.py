@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +31,24 @@ def get_session(app: str = "pagemill", master: str | None = None, **conf: str) -
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: their path need not hold it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pagemill_shipped", False):
+        return
+    root = Path(__file__).parent
+    to = Path(tempfile.mkdtemp(prefix="pagemill-code-"), "pagemill.zip")
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(to))  # served by the driver, fetched by every executor
+    sc._pagemill_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 

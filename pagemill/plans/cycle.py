@@ -53,7 +53,7 @@ def label_cycle(assets: DataFrame, predictor: str, config: dict[str, Any] | None
     run = cut_lineage(run_predictor(assets, predictor, config), "predictions")  # the model runs once
     lines = predictions_of(run).withColumn("ord", F.xxhash64("asset_id", "line"))
     decided = predictions.decide(lines, thresholds)
-    routed = cut_lineage(review.route_pages(assets, lines, policy, thresholds), "routes")
+    routed = review.route_pages(assets, lines, policy, thresholds)
     work = routed.where("route in ('review', 'audit')")
     tasks = annotation.tasks(work, predictions.by_asset(lines), extra=("route", "review_score", "reasons", "accepted_predictions", "rejected_predictions", "preannotated_lines", "sample_score"))
     return Cycle(lines, failures_of(run), predictions.silver_manifest(lines, rule, thresholds), decided.where("not accepted"), routed, tasks)

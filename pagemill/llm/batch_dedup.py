@@ -24,7 +24,7 @@ from pagemill.session import cut_lineage
 
 #: Codes a shard is meant to hold; with more than MAX_SEGMENTS shards of history they grow instead,
 #: so that a query visits a bounded number of graphs of logarithmic depth.
-SHARD_CODES = 131_072
+SHARD_CODES = 65_536
 MAX_SEGMENTS = 64
 QUERY_BLOCK = 8_000
 INDEX = "shard string, low_batch int, high_batch int, size int, codes binary, links binary, ords binary, beam int, recall double"

@@ -173,7 +173,7 @@ def probes(codes: np.ndarray, radius: int, count: int, seed: int = 5) -> np.ndar
     return out
 
 
-def tune(g: Graph, radius: int, target: float = 0.995, count: int = 1024, most: int = 2048) -> tuple[int, float]:
+def tune(g: Graph, radius: int, target: float = 0.998, count: int = 2048, most: int = 2048) -> tuple[int, float]:
     """The smallest beam (32, 48, 56 and so on) whose recall of the points within ``radius`` of
     the test queries, found by exhaustive search, reaches the target; and that recall."""
     if not len(g.codes):

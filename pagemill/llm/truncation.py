@@ -17,6 +17,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,7 @@ def _hash(*parts: object) -> int:
     return zlib.crc32("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass"))
 
 
+@lru_cache(1 << 16)
 def word_bucket(w: str) -> int:
     return _hash("w", w) & ((1 << WORD_BITS) - 1)
 
@@ -108,17 +110,18 @@ class Statistics:
 def count_words(texts: Iterator[str], inside: np.ndarray, final: np.ndarray) -> None:
     """Add the words of whole texts; the last word of the last open sentence counts nowhere."""
     for t in texts:
-        spans = [m.start() for m in _SENTENCE.finditer(t)] + ([len(t)] if _ENDED.search(t[-12:]) and not _ELLIPSIS.search(t[-12:]) else [])
-        words = [(m.start(), m.group().lower()) for m in _WORD.finditer(t)]
-        j = 0
-        for i, (at, w) in enumerate(words):
-            while j < len(spans) and spans[j] < at:
-                j += 1
-            nxt = words[i + 1][0] if i + 1 < len(words) else None
-            if j < len(spans) and (nxt is None or spans[j] < nxt):
-                final[word_bucket(w)] += 1
-            elif nxt is not None:
-                inside[word_bucket(w)] += 1
+        ends = [m.start() for m in _SENTENCE.finditer(t)] + ([len(t)] if _ENDED.search(t[-12:]) and not _ELLIPSIS.search(t[-12:]) else [])
+        found = [*_WORD.finditer(t)]
+        if not found:
+            continue
+        start = np.array([m.start() for m in found])
+        bucket = np.array([word_bucket(m.group().lower()) for m in found])
+        # a word is final if a sentence ends after it and before the next one begins
+        closed = np.searchsorted(ends, np.append(start[1:], len(t) + 1), "left") > np.searchsorted(ends, start, "left")
+        np.add.at(final, bucket[closed], 1)
+        open_ = ~closed
+        open_[-1] = False
+        np.add.at(inside, bucket[open_], 1)
 
 
 def hashed(text: str, source: str | None, st: Statistics) -> list[int]:
@@ -310,7 +313,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Statistics over all documents, and the model from at most ``sample_rows`` intact ones: texts
     that end a sentence, chosen by hash of the key; of a longer text the last 1,500 characters."""
     st = statistics(docs, text, source)
-    ended = F.rtrim(F.col(text)).rlike(r"[^.…‥⋯\s][.!?。！？][\"'”’»」』）)\]]*$")  # an ellipsis may hide a cut
+    ended = F.substring(F.rtrim(F.col(text)), -12, 12).rlike(r"[^.…‥⋯\s][.!?。！？][\"'”’»」』）)\]]*$")  # an ellipsis may hide a cut
     pool = docs.where(F.col(text).isNotNull() & ended)
     n = pool.count()
     share = min(1.0, 2 * sample_rows / max(1, n))  # what is sorted and sent to the driver stays bounded

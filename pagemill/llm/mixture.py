@@ -83,7 +83,7 @@ def _mix(counted: DataFrame, targets: DataFrame, key: str, total_tokens: int | N
     have = {r["source"]: r for r in counted.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")).collect()}
     names = sorted(s for s in have if s in goal and goal[s][0] > 0 and goal[s][1] > 0)
     spark = counted.sparkSession
-    schema = f"source string, shard int, blocks int, shard_tokens long, quota int, first int"
+    schema = "source string, shard int, blocks int, shard_tokens long, quota int, first int"
     plan: list[tuple] = []
     n_shards = {s: max(1, -(-have[s]["docs"] // shard_docs)) for s in names}
     rows = counted.where(F.col("source").isin(names)) if names else counted.limit(0)

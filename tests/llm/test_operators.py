@@ -304,7 +304,8 @@ def test_keep_together(spark):
     total = {s: sum(r["records"] for r in got if r["split"] == s) / len(rows) for s in ("train", "val", "test")}
     assert all(abs(total[s] - t) < 0.02 for s, t in keep_together.TARGETS.items()), total
     assert {r["series_id"] for r in keep_together.divided(m).collect()} == {"hot", "s-1"}
-    assert {tuple(r)[:2] for r in keep_together.shares(m).collect()} == {(s, round(v * len(rows))) for s, v in total.items()} or True
+    given = {r["split"]: r["share"] for r in keep_together.shares(m).collect()}
+    assert set(given) == set(total) and abs(sum(given.values()) - 1) < 1e-9 and all(abs(given[s] - t) < 0.02 for s, t in keep_together.TARGETS.items())
     assert keep_together.keep_together(m.limit(0)).count() == 0 and keep_together.divided(m.limit(0)).count() == 0
 
 

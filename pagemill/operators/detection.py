@@ -45,11 +45,11 @@ def project(crops: DataFrame, default_type: str = "dialogue") -> DataFrame:
     Needs polygon, transcript, recognition_confidence, script_confidence, lang, text_type; left, top,
     right, bottom, rotated of the crop; detection_confidence, detection_height, direction of the
     detection. Lines without text or points are left out."""
-    none = F.size("polygon") > 0
+    drawn = F.size("polygon") > 0
     rec = F.coalesce("recognition_confidence", F.lit(0.0))
     script = F.coalesce("script_confidence", rec)
     page: Column = crop_to_page(F.col("polygon"), F.col("left"), F.col("top"), F.col("bottom") - F.col("top"), F.col("rotated"))
-    out = crops.where(non_blank(F.col("transcript")).isNotNull() & none).withColumn("page_polygon", page)
+    out = crops.where(non_blank(F.col("transcript")).isNotNull() & drawn).withColumn("page_polygon", page)
     return out.select(
         "ord", non_blank(F.col("transcript")).alias("transcript"), F.col("page_polygon").alias("polygon"), F.coalesce("lang", F.lit("mixed")).alias("lang"), "direction",
         F.coalesce("text_type", F.lit(default_type)).alias("text_type"), "detection_confidence", rec.alias("recognition_confidence"), script.alias("script_confidence"),

@@ -108,6 +108,17 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_fou
 _CODE = "CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{16}') AND lower(trim(phash)) NOT IN ('0000000000000000', 'ffffffffffffffff') THEN ('0x' || lower(trim(phash)))::UBIGINT END"
 _SAME = "(a.sha = b.sha OR bit_count(xor(a.code, b.code)) <= 6)"
 
+
+
+def _count(letters: str) -> str:
+    return f"length(regexp_replace(coalesce(transcript, ''), '[^{letters}]', '', 'g'))"
+
+
+_JA = r"\x{3005}-\x{3007}\x{3041}-\x{3096}\x{309D}-\x{309F}\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{2F00}-\x{2FD5}\x{FF66}-\x{FF9D}"
+_KO = r"\x{AC00}-\x{D7A3}\x{1100}-\x{1112}"  # a syllable in parts has one leading consonant
+_LATIN = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{FB00}-\x{FB06}" + "".join(f"\\x{{{ord(c):X}}}" for line in canonical_text._lines(canonical_text._LATIN) for c in line if not c.isascii())
+_LABEL = "lower(trim(coalesce(lang, '')))"
+
 #: SQL for the problems that SQL can express; it compares all pairs, so it is for small tables.
 SQL: dict[str, str] = {
     "p1_found": f"""
@@ -118,9 +129,25 @@ SQL: dict[str, str] = {
         k AS (SELECT side.path, t, e, sha, code FROM side JOIN img USING (path))
         SELECT DISTINCT least(a.path, b.path) AS image_path_a, greatest(a.path, b.path) AS image_path_b
         FROM k a JOIN k b ON a.t = 1 AND b.e = 1 AND {_SAME}""",
+    "p3_found": f"""
+        WITH c AS (SELECT ord, CASE WHEN {_LABEL} IN ('jp', 'ja-jp') THEN 'ja' WHEN {_LABEL} IN ('kr', 'ko-kr') THEN 'ko' ELSE {_LABEL} END AS label,
+                {_count(_JA)} AS ja, {_count(_KO)} AS ko, {_count(_LATIN)} + {_count(r"\x{FB00}-\x{FB06}")} AS latin FROM teacher_predictions),
+        l AS (SELECT ord, label, unnest(['ja', 'ko', 'latin']) AS lang, unnest([ja, ko, latin]) AS n, greatest(ja, ko, latin) AS most FROM c),
+        k AS (SELECT * FROM l WHERE n > 0 AND (n >= 4 OR (most < 4 AND n = most))),
+        w AS (SELECT *, count(*) OVER (PARTITION BY ord) AS langs FROM k)
+        SELECT ord, lang FROM w WHERE label <> CASE WHEN langs > 1 THEN 'mixed' ELSE lang END""",
     "p4_found": f"""
         WITH r AS (SELECT ord, coalesce(batch_id, 0) AS batch, lower(trim(sha256)) AS sha, {_CODE} AS code FROM page_assets)
         SELECT DISTINCT a.ord FROM r a JOIN r b ON a.batch >= 1 AND b.ord < a.ord AND {_SAME}""",
+    "p5_found": f"""
+        WITH RECURSIVE r AS (SELECT ord, lower(trim(sha256)) AS sha, {_CODE} AS code, asset_id, nullif(trim(canonical_asset_id), '') AS canon,
+                (phash IS NOT NULL)::INT + (width IS NOT NULL)::INT + (height IS NOT NULL)::INT AS present, coalesce(width::BIGINT * height::BIGINT, 0) AS area, fetched_at::TIMESTAMPTZ AS ts FROM page_assets),
+        e AS (SELECT a.ord AS u, b.ord AS v FROM r a JOIN r b ON a.ord <> b.ord AND ({_SAME} OR a.asset_id = b.asset_id OR a.canon = b.asset_id OR b.canon = a.asset_id)),
+        reach AS (SELECT u AS s, u AS t FROM e UNION SELECT reach.s, e.v FROM reach JOIN e ON e.u = reach.t),
+        g AS (SELECT s AS ord, min(t) AS group_ord FROM reach GROUP BY s),
+        f AS (SELECT group_ord, r.* FROM g JOIN r USING (ord)),
+        m AS (SELECT group_ord, max(present) AS p, max(area) AS a, max(ts) AS t FROM f GROUP BY group_ord)
+        SELECT group_ord, min(ord) AS best_ord FROM f JOIN m USING (group_ord) WHERE present = p AND area = a AND ts = t GROUP BY group_ord HAVING count(*) = 1""",
     "p6_found": """
         SELECT replace(lower(trim(series_id)), '_', '-') AS series_id FROM dataset_manifest
         WHERE lower(trim(split)) IN ('train', 'val', 'test') AND trim(series_id) <> ''

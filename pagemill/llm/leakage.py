@@ -4,10 +4,14 @@ Method: windows of both texts are embedded by the CGK random walk, which turns e
 Hamming distance; repeated bit-sampling LSH on the embeddings gives candidate window pairs; each
 is verified exactly (identical stretch, or edit distance within a band) against the two texts.
 
-Windows are sized so that recall of a stretch of ``min_run`` letters is certain, not likely: item
-windows start at every letter, document windows of ``window`` letters at every
-``min_run - window + 1`` letters, so each common stretch holds an aligned pair of equal windows,
-and equal windows have equal embeddings. The repetitions are for windows that differ by edits.
+Item windows start at every letter. For identical stretches of ``min_run`` letters alone, document
+windows of ``window`` letters at every ``min_run - window + 1`` letters are enough: each common
+stretch holds an aligned pair of equal windows, and equal windows have equal embeddings, so recall
+is certain. The near search has document windows at every letter too. Identical stretches of
+``window`` letters are then certain, and the repetitions are chosen so that a passage of
+``passage`` letters with an edit in every ``spacing`` comes out with the probability ``recall``.
+Around every verified window its neighbours are verified too, so what is covered of an item does
+not hang on which of the windows met.
 
 The items are the stated query set: they go to the executors in blocks of bounded size and the
 documents are read once per block, without a shuffle.
@@ -27,8 +31,10 @@ from pyspark.sql import functions as F
 from pagemill.llm.canonical_text import _GONE
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
-#: Letters of items per block: with three repetitions about 60 MB on each executor's worker.
+#: Letters of items per block: about 20 MB a repetition on each executor's worker.
 BLOCK_LETTERS = 1_000_000
+#: The near search: the shortest edited passage, letters to an edit, and the share of such passages to be found.
+PASSAGE, SPACING, RECALL, MOST_REPETITIONS = 45, 15, 0.99, 32
 #: Letters of documents that are windowed at once.
 CHUNK_LETTERS = 1_000_000
 
@@ -105,8 +111,9 @@ class ItemIndex:
             owner.append(np.full(n, k))
             offset.append(np.arange(n))
             base += len(t)
-        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-        start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        self.codes = codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        self.start = start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        self.end = np.cumsum([len(t) for t in texts], dtype=np.int64)
         self.owner, self.offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owner, offset))
         keys = emb.keys(codes, start) if len(start) else np.zeros((emb.repetitions, 0), np.uint64)
         self.order = np.argsort(keys, axis=1, kind="stable")
@@ -116,9 +123,9 @@ class ItemIndex:
         """Window pairs (row of ``keys``, item window) that agree in any repetition, each once."""
         pairs = []
         for r in range(self.emb.repetitions):
-            a, b = np.searchsorted(self.sorted[r], keys[r], "left"), np.searchsorted(self.sorted[r], keys[r], "right")
-            hit = np.nonzero(b > a)[0]
-            n = b[hit] - a[hit]
+            a = np.searchsorted(self.sorted[r], keys[r], "left")
+            hit = np.nonzero(self.sorted[r][np.minimum(a, len(self.owner) - 1)] == keys[r])[0]
+            n = np.searchsorted(self.sorted[r], keys[r][hit], "right") - a[hit]
             at = np.repeat(a[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             pairs.append(np.stack([np.repeat(hit, n), self.order[r][at]]))
         both = np.unique(np.concatenate(pairs, axis=1), axis=1)
@@ -136,35 +143,159 @@ def common_run(a: str, i: int, b: str, j: int) -> tuple[int, int]:
     return i - lo, lo + hi
 
 
+def spread_edits(texts: np.ndarray, spacing: int, kind: str, rng: np.random.Generator) -> list[np.ndarray]:
+    """Each row with one edit in every ``spacing`` letters: ``sub``, ``del``, ``ins``, or any (``mix``)."""
+    out = []
+    for row in texts:
+        letters = row.tolist()
+        for a in range(len(letters) // spacing * spacing - spacing, -1, -spacing):
+            at, new = a + int(rng.integers(spacing)), int(rng.integers(97, 123))
+            k = kind if kind != "mix" else ("sub", "del", "ins")[int(rng.integers(3))]
+            letters[at : at + (k != "ins")] = [] if k == "del" else [new]
+        out.append(np.array(letters, np.uint32))
+    return out
+
+
+def tune(window: int, samples: int, passage: int = PASSAGE, spacing: int = SPACING, recall: float = RECALL, count: int = 1000) -> tuple[int, float]:
+    """The fewest repetitions that bring up an aligned window of ``recall`` of stated test passages,
+    of random letters with an edit in every ``spacing``, for the worst kind of edit; and that share."""
+    rng = np.random.default_rng(23)
+    whole = rng.integers(97, 123, (count, max(passage, window)), dtype=np.uint32)
+    n = whole.shape[1] - window + 1
+    item_starts = (np.arange(count)[:, None] * whole.shape[1] + np.arange(n)).ravel()
+    item_of = np.repeat(np.arange(count, dtype=np.uint64), n)
+    cases = []
+    for kind in ("sub", "del", "ins"):
+        edited = spread_edits(whole, spacing, kind, rng)
+        base = np.cumsum([0, *map(len, edited)])[:-1]
+        each = [max(0, len(e) - window + 1) for e in edited]
+        starts = np.concatenate([b + np.arange(m) for b, m in zip(base, each)]).astype(np.int64)
+        cases.append((np.concatenate(edited), starts, np.repeat(np.arange(count, dtype=np.uint64), each)))
+    mark = lambda of: of * np.uint64(0xD6E8FEB86659FD93)
+    for repetitions in range(1, MOST_REPETITIONS + 1):
+        emb = Embedding(window, samples, repetitions)
+        ours = emb.keys(whole.ravel(), item_starts)
+        reached = 1.0
+        for codes, starts, of in cases:
+            theirs, met = emb.keys(codes, starts), np.zeros(count, bool)
+            for r in range(repetitions):
+                met[of[np.isin(theirs[r] + mark(of), ours[r] + mark(item_of))].astype(np.int64)] = True
+            reached = min(reached, float(met.mean()))
+        if reached >= recall:
+            break
+    return repetitions, reached
+
+
+def most_edits(window: int, spacing: int = SPACING) -> int:
+    """Edits that a window can hold if every ``spacing`` letters hold one."""
+    return -(-(window - 1) // spacing) + 1
+
+
+def near_spans(codes: np.ndarray, at: np.ndarray, index: ItemIndex, item: np.ndarray, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows whose document window at ``codes[at]`` is within ``most`` edits of a stretch of the item
+    around position ``q`` of all items' letters; start and end of that stretch. All rows are filled
+    together, in a band of ``most`` diagonals on either side."""
+    w, width = index.emb.window, 2 * most + 1
+    rows = np.arange(len(at))
+    low, high = (index.end - np.array([len(t) for t in index.texts], np.int64))[item], index.end[item]
+    cost = [np.zeros(len(at), np.int16) for _ in range(width)]
+    begin = [q - most + b for b in range(width)]
+    for i in range(w):
+        if i % 6 == 5:  # most pairs that met by chance are far apart after a few letters
+            ok = np.minimum.reduce(cost) <= most
+            rows, at, q, low, high = (x[ok] for x in (rows, at, q, low, high))
+            cost, begin = [x[ok] for x in cost], [x[ok] for x in begin]
+        mine = codes[at + i]
+        new, first = [], []
+        for b in range(width):
+            to = q - most + i + b
+            inside = (to >= low) & (to < high)
+            other = index.codes[np.clip(to, 0, len(index.codes) - 1)]
+            c, s = cost[b] + ~(inside & (mine == other)), begin[b]
+            if b + 1 < width:
+                less = cost[b + 1] + 1 < c
+                c, s = np.where(less, cost[b + 1] + 1, c), np.where(less, begin[b + 1], s)
+            if b:
+                less = new[b - 1] + 1 < c
+                c, s = np.where(less, new[b - 1] + 1, c), np.where(less, first[b - 1], s)
+            new.append(c.astype(np.int16))
+            first.append(s)
+        cost, begin = new, first
+    # the middle diagonal first, so that a tie is not drawn to the edge of the band
+    order = sorted(range(width), key=lambda b: abs(b - most))
+    best = np.stack([cost[b] for b in order]).argmin(axis=0)
+    pick = np.array(order)[best]
+    least = np.stack(cost)[pick, np.arange(len(rows))]
+    start = np.stack(begin)[pick, np.arange(len(rows))]
+    end = q - most + w + pick
+    ok = least <= most
+    return rows[ok], np.clip(start, low, high)[ok], np.clip(end, low, high)[ok]
+
+
 def match_texts(texts: list[str], index: ItemIndex, min_run: int, max_edits: int) -> list[tuple[int, int, int, int]]:
     """(text, item, longest identical stretch, letters of the item covered by verified windows)."""
-    w, stride = index.emb.window, min_run - index.emb.window + 1
-    starts, owner, offset, base = [], [], [], 0
+    w = index.emb.window
+    stride = 1 if max_edits else min_run - w + 1
+    starts, owner, base = [], [], [0]
     for k, t in enumerate(texts):
         n = max(0, (len(t) - w) // stride + 1)
-        starts.append(base + stride * np.arange(n))
+        starts.append(base[-1] + stride * np.arange(n))
         owner.append(np.full(n, k))
-        offset.append(stride * np.arange(n))
-        base += len(t)
+        base.append(base[-1] + len(t))
     start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     if not len(start) or not len(index.owner):
         return []
-    owner, offset = np.concatenate(owner), np.concatenate(offset)
+    owner, base = np.concatenate(owner), np.array(base)
     codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    inner = np.zeros(len(codes) + 1, bool)
+    if stride == 1:
+        # inside a run of one letter every window meets what the first and the last window of it meet
+        turns = np.append(0, np.cumsum(codes[1:] != codes[:-1]))
+        p = start[(start > base[owner]) & (start + w < base[owner + 1])]
+        inner[p] = turns[p + w] == turns[p - 1]
+        owner, start = owner[~inner[start]], start[~inner[start]]
     mine, theirs = index.candidates(index.emb.keys(codes, start))
+    doc, item, p, q = owner[mine], index.owner[theirs], start[mine], index.start[theirs]
+    same = np.ones(len(p), bool)
+    for j in range(w):
+        same &= codes[p + j] == index.codes[q + j]
     found: dict[tuple[int, int], list] = {}
-    for d, p, k, q in zip(owner[mine].tolist(), offset[mine].tolist(), index.owner[theirs].tolist(), index.offset[theirs].tolist()):
+    for d, i, k, j in zip(doc[same].tolist(), (p - base[doc])[same].tolist(), item[same].tolist(), index.offset[theirs][same].tolist()):
         best = found.setdefault((d, k), [0, [], {}])
-        doc, item = texts[d], index.texts[k]
-        if best[2].get(q - p, -1) >= p + w:  # this diagonal is verified up to here already
+        if best[2].get(j - i, -1) >= i + w:  # this diagonal is verified up to here already
             continue
-        if doc[p : p + w] == item[q : q + w]:
-            i, n = common_run(doc, p, item, q)
-            best[0] = max(best[0], n)
-            best[1].append((q - p + i, q - p + i + n))
-            best[2][q - p] = i + n
-        elif max_edits and edit_within(doc[p : p + w], item[q : q + w], max_edits):
-            best[1].append((q, q + w))
+        a, n = common_run(texts[d], i, index.texts[k], j)
+        best[0] = max(best[0], n)
+        best[1].append((j - i + a, j - i + a + n))
+        best[2][j - i] = a + n
+    if max_edits:
+        wide = len(index.codes) + len(codes) + 2 * max_edits + 2  # a number for each pair of a window and a diagonal
+        number = lambda p, q: p * wide + (q - p + len(codes) + max_edits)
+        seen = np.unique(number(p[same], q[same]))
+        ok = same.copy()
+        ok[np.nonzero(~same)[0][near_spans(codes, p[~same], index, item[~same], q[~same], max_edits)[0]]] = True
+        # from here on windows next to verified ones, first those that met
+        doc, item, p, q = doc[ok], item[ok], p[ok], q[ok]
+        todo = (doc[~same[ok]], item[~same[ok]], p[~same[ok]], q[~same[ok]])
+        near = (doc[same[ok]], item[same[ok]], p[same[ok]], q[same[ok]])
+        while len(todo[0]) or len(near[0]):
+            for step in (-1, 1):
+                edge = ~np.isin(number(near[2] + step, near[3] + step), seen)
+                far = step * np.arange(1, w + 1)
+                d, k = (np.repeat(x[edge], w) for x in near[:2])
+                a, b = ((x[edge][:, None] + far).ravel() for x in near[2:])
+                inside = (a >= base[d]) & (a + w <= base[d + 1]) & ~inner[np.clip(a, 0, len(codes))] & (b + w + max_edits > 0) & (b < len(index.codes) + max_edits)
+                todo = tuple(np.concatenate([x, y[inside]]) for x, y in zip(todo, (d, k, a, b)))
+            key, once = np.unique(number(todo[2], todo[3]), return_index=True)
+            once = once[~np.isin(key, seen)]
+            seen = np.union1d(seen, key)
+            todo = tuple(x[once] for x in todo)
+            at, lo, hi = near_spans(codes, todo[2], index, todo[1], todo[3], max_edits)
+            near = (todo[0][at], todo[1][at], todo[2][at], lo)
+            first = index.end[near[1]] - np.array([len(t) for t in index.texts], np.int64)[near[1]]
+            for d, k, a, b in zip(near[0].tolist(), near[1].tolist(), (lo - first).tolist(), (hi - first).tolist()):
+                found.setdefault((d, k), [0, [], {}])[1].append((a, b))
+            todo = tuple(x[:0] for x in todo)
     out = []
     for (d, k), (longest, spans, _) in found.items():
         covered, end = 0, 0
@@ -192,18 +323,24 @@ def item_blocks(items: DataFrame, item: str, text: str, block_letters: int) -> I
         yield ids, texts
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", min_run: int = 60, window: int = 31, samples: int = 12, repetitions: int = 3, max_edits: int = 2, block_letters: int = BLOCK_LETTERS) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", min_run: int = 60, window: int = 31, samples: int = 12, repetitions: int | None = None, max_edits: int | None = None, block_letters: int = BLOCK_LETTERS, passage: int = PASSAGE, spacing: int = SPACING, recall: float = RECALL) -> DataFrame:
     """(doc, item, longest_run, covered, item_letters): documents that hold passages of items.
 
     longest_run is the longest identical stretch found, covered the letters of the item inside
-    verified windows. Every common stretch of ``min_run`` letters is found; shorter or edited ones
-    are found as far as the LSH brings up one of their windows. Texts that are null, empty or
+    verified windows. Every common stretch of ``min_run`` letters is found and, unless ``max_edits``
+    is 0, every one of ``window`` letters and the share ``recall`` of edited passages of ``passage``
+    letters with an edit in every ``spacing``; ``repetitions`` and ``max_edits`` follow from these
+    if they are not given. Texts that are null, empty or
     shorter than a window, and rows without an id, match nothing; repeated rows each give their own. Whole texts are read.
     """
     spark = docs.sparkSession
     kinds = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"{doc} {kinds[0]}, {item} {kinds[1]}, longest_run int, covered int, item_letters int"
     source = docs.where(F.col(text).isNotNull() & F.col(doc).isNotNull()).select(F.col(doc).alias("d"), F.col(text).alias("t"))
+    if max_edits is None:
+        max_edits = most_edits(window, spacing)
+    if repetitions is None:
+        repetitions = tune(window, samples, passage, spacing, recall)[0] if max_edits else 1  # equal windows always meet
     emb = Embedding(window, samples, repetitions)
     out = None
     for ids, texts in item_blocks(items, item, text, block_letters):

@@ -356,6 +356,47 @@ def test_embedding_and_edits():
     assert leakage.edit_within("kitten", "sitting", 3) and not leakage.edit_within("kitten", "sitting", 2) and leakage.edit_within("", "ab", 2) and not leakage.edit_within("", "abc", 2)
 
 
+def nearest_stretch(w, item):
+    """Edit distance of a window to the nearest stretch of an item, by the whole table."""
+    row = [0] * (len(item) + 1)
+    for i, c in enumerate(w, 1):
+        new = [i]
+        for j, x in enumerate(item, 1):
+            new.append(min(row[j - 1] + (c != x), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+@pytest.mark.parametrize("kind", ["sub", "del", "ins", "mix"])
+def test_near_search_reaches_its_recall(kind):
+    rng = np.random.default_rng(29)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    repetitions, reached = leakage.tune(31, 12)
+    most = leakage.most_edits(31)
+    assert reached >= leakage.RECALL
+    count = 400
+    passages = rng.integers(97, 123, (count, leakage.PASSAGE), dtype=np.uint32)
+    edited = ["".join(map(chr, e)) for e in leakage.spread_edits(passages, leakage.SPACING, kind, rng)]
+    items = [letters(int(rng.integers(0, 40))) + "".join(map(chr, x)) + letters(20) for x in passages]
+    docs = [letters(int(rng.integers(0, 60))) + e + letters(30) for e in edited]
+    index = leakage.ItemIndex([*range(count)], items, leakage.Embedding(31, 12, repetitions))
+    got = {(d, k): covered for d, k, _, covered in leakage.match_texts(docs, index, 60, most)}
+    want = {k for k in range(count) if any(nearest_stretch(docs[k][p : p + 31], items[k]) <= most for p in range(len(docs[k]) - 30))}
+    assert len(want) == count and {k for k, _ in got} <= want and all(d == k for d, k in got)
+    assert len(got) >= 0.985 * count  # the target is 0.99, the draw of the test has its own error
+    assert np.mean([c >= leakage.PASSAGE - 3 for c in got.values()]) > 0.95  # neighbours of what met are covered too
+
+
+def test_near_search_finds_every_short_identical_run(spark):
+    rng = random.Random(31)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    items = [(k, text(120)) for k in range(60)]
+    docs = [(k, text(rng.randint(0, 90)) + "7" + t[40 : 71 + k % 29] + "8" + text(20)) for k, t in items] + [(100, "z" * 5000)]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([*items, (100, "y" + "z" * 300)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["longest_run"], r["covered"]) for r in leakage.leaks(d, i).collect()}
+    assert all(got[k, k][0] >= 31 + k % 29 for k in range(60)) and got[100, 100][0] == 300 and got[100, 100][1] >= 300
+
+
 # problem 8
 
 DOCS = "doc_id bigint, text string, source string"

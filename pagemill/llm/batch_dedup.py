@@ -95,10 +95,14 @@ def build_index(codes: DataFrame, plan: list[tuple[str, int, int, int]], radius:
 def search_index(index: DataFrame, queries: DataFrame, plan: list[tuple[str, int, int, int]], fanout: int, radius: int = 6) -> DataFrame:
     """(ord, match_ord): for each query (code, ord, batch) that has one, the earliest row before it
     whose code is within the radius, as far as the graphs find it."""
-    spark = queries.sparkSession
     batches = sorted({lo for n, lo, _, _ in plan if n[0] == "b"})
     parts = {n: p for n, _, _, p in plan}
-    pairs = [(b, f"{n}.{k}") for b in batches for n in visits(plan, b, fanout) for k in range(parts[n])]
+    return search_pairs(index, queries, [(b, f"{n}.{k}") for b in batches for n in visits(plan, b, fanout) for k in range(parts[n])], radius)
+
+
+def search_pairs(index: DataFrame, queries: DataFrame, pairs: list[tuple[int, str]], radius: int) -> DataFrame:
+    """``search_index`` with the (batch, shard part) pairs that are to meet."""
+    spark = queries.sparkSession
     to = F.broadcast(spark.createDataFrame(pairs or [(-1, "")], "batch int, shard string"))
     n_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     q = queries.join(to, "batch").select("code", "ord", "shard", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(n_blocks)).cast("int").alias("block"))
@@ -164,10 +168,15 @@ class StoredIndex:
     """The index as tables under a folder that all executors share, fed batch by batch.
 
     ``keys``: (sha, code, ord) of what was accepted, a folder per batch; ``shards``: the graphs, a
-    folder per shard. ``accept`` searches the shards that stand for the batches before, adds the
-    batch's own, and after every ``fanout`` batches compacts their shards into one and removes the
-    singles. History is read only as graphs, and as the two key columns for exact repeats; its
+    folder per shard. ``accept`` adds the batch's own shard and searches every stored shard that
+    begins at or before the batch. A run of ``fanout`` batches is compacted into one shard once its
+    last batch or a later one has come; a batch of the run that comes or comes again after that is
+    merged into it. History is read only as graphs, and as the two key columns for exact repeats; its
     graphs are never built again. A batch that is given again (after a failure) is written again.
+
+    A shard is built aside and renamed, and what it stands for is removed only after that, so a
+    failure at any point leaves every code of the accepted batches in some shard. Two shards that
+    hold the same codes do no harm and become one at the next ``accept``.
     """
 
     def __init__(self, spark: SparkSession, path: str, radius: int = 6, fanout: int = 5, shard_codes: int = SHARD_CODES):
@@ -198,58 +207,76 @@ class StoredIndex:
         schema = "sha string, code bigint, ord bigint"
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/keys/{n}" for n in names]) if names else self.spark.createDataFrame([], schema)
 
+    def _move(self, name: str, to: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        a, b = path(f"{self.path}/{name}"), path(f"{self.path}/{to}")
+        fs = a.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(b.getParent())
+        if not fs.rename(a, b):
+            raise OSError(f"{a} could not be renamed to {b}")
+
     def _add(self, codes: DataFrame, shard: str, low: int, high: int) -> None:
         n = codes.count()
         if n:
             one = (shard, low, high, max(1, -(-n // self.shard_codes)))
-            build_index(codes, [one], self.radius).write.mode("overwrite").parquet(self._folder(one))
+            name = "_".join(map(str, one))
+            build_index(codes, [one], self.radius).write.mode("overwrite").parquet(f"{self.path}/building/{name}")
+            for s in self.plan():
+                if s[0] == shard:  # of an earlier delivery of the batch
+                    self._drop(f"shards/{'_'.join(map(str, s))}")
+            self._move(f"building/{name}", f"shards/{name}")
 
     def accept(self, assets: DataFrame, batch: int) -> DataFrame:
         """(ord, batch, match_ord, kind) of the rows of one batch, which then belong to the index.
         Batch 0 is the history: it is indexed, and all of it comes out as ``history``."""
         rows = cut_lineage(page_rows(assets).withColumn("batch", F.lit(batch)), "p4-batch")
-        rows.select("sha", "code", "ord").write.mode("overwrite").parquet(f"{self.path}/keys/batch={batch}")
         old = self._keys(batch)
         old_codes = old.where("code is not null").groupBy("code").agg(F.min("ord").alias("o"))
         own = first_codes(rows)
         fresh = cut_lineage(own.join(old_codes, "code", "left_anti"), "p4-fresh")  # codes that no graph holds yet
         self._add(fresh, "h" if batch == 0 else f"b{batch}", batch, batch)
+        # after the graph: codes under the keys of a batch are taken to be in one
+        rows.select("sha", "code", "ord").write.mode("overwrite").parquet(f"{self.path}/keys/batch={batch}")
         if batch == 0:
             return rows.select("ord", "batch", F.lit(None).cast("bigint").alias("match_ord"), F.lit("history").alias("kind"))
         shas = old.where("sha is not null").select("sha", "ord").unionByName(rows.where("sha is not null").select("sha", "ord")).join(rows.select("sha").distinct(), "sha", "left_semi").groupBy("sha").agg(F.min("ord").alias("sha_ord"))
         codes = old_codes.select("code", F.col("o").alias("code_ord")).unionByName(own.select("code", F.col("ord").alias("code_ord"))).join(own.select("code"), "code", "left_semi").groupBy("code").agg(F.min("code_ord").alias("code_ord"))
         before = lambda c: F.when(F.col(c) < F.col("ord"), F.col(c)).alias(c)
         new = cut_lineage(rows.join(shas, "sha", "left").join(codes, "code", "left").select("ord", "batch", "code", before("sha_ord"), before("code_ord")), "p4-new")
-        plan = [s for s in self.plan() if s[2] <= batch]
-        near = self._search(new.where("code is not null and sha_ord is null and code_ord is null").select("code", "ord", "batch"), plan, batch)
+        near = self._search(new.where("code is not null and sha_ord is null and code_ord is null").select("code", "ord", "batch"), batch)
         kind = F.when(F.col("sha_ord").isNotNull(), "sha256").when(F.col("code_ord").isNotNull(), "phash").when(F.col("match_ord").isNotNull(), "near").otherwise("new")
         out = cut_lineage(new.join(near, "ord", "left").select("ord", "batch", F.coalesce("sha_ord", "code_ord", "match_ord").alias("match_ord"), kind.alias("kind")), "p4-out")
-        if batch % self.fanout == 0:
-            self.compact(batch - self.fanout + 1, batch)
+        newest = max(int(n.split("=")[1]) for n in self._list("keys"))
+        for run in sorted({(s[1] - 1) // self.fanout for s in self.plan() if s[0][0] != "h"}):
+            if (run + 1) * self.fanout <= newest:
+                self.compact(run * self.fanout + 1, (run + 1) * self.fanout)
         return out
 
-    def _search(self, queries: DataFrame, plan: list[tuple[str, int, int, int]], batch: int) -> DataFrame:
-        held = [s for s in plan if s[0] in visits(plan, batch, self.fanout)]
+    def _search(self, queries: DataFrame, batch: int) -> DataFrame:
+        """A shard of a whole run may hold later batches too: only rows before the asking one match."""
+        held = [s for s in self.plan() if s[1] <= batch]
         if not held:
             return self.spark.createDataFrame([], "ord long, match_ord long")
         index = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in held])
-        # the batch may have no shard of its own, if all its codes are known
-        asked = held if any(s[0] == f"b{batch}" for s in held) else [*held, (f"b{batch}", batch, batch, 0)]
-        return search_index(index, queries, asked, self.fanout, self.radius)
+        return search_pairs(index, queries, [(batch, f"{name}.{k}") for name, _, _, parts in held for k in range(parts)], self.radius)
 
     def compact(self, low: int, high: int) -> None:
-        """One shard for a run of batches, from the codes that their graphs hold."""
-        singles = [s for s in self.plan() if s[0][0] == "b" and low <= s[1] <= high]
-        if not singles:
+        """One shard for a run of batches, from the codes that their graphs hold: those of single
+        batches and those of a shard of the run that is there already."""
+        held = [s for s in self.plan() if s[0][0] != "h" and low <= s[1] and s[2] <= high]
+        if not held or (len(held) == 1 and held[0][0][0] == "c"):
             return
+        names, version = {s[0] for s in held}, 1
+        while (name := f"c{low}-{high}" + (f"v{version}" if version > 1 else "")) in names:
+            version += 1
 
         def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for c, o, b in zip(pdf["codes"], pdf["ords"], pdf["low_batch"]):
                     yield pd.DataFrame({"code": np.frombuffer(c, np.int64), "ord": np.frombuffer(o, np.int64), "batch": b})
 
-        stored = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in singles])
-        codes = cut_lineage(stored.select("codes", "ords", "low_batch").mapInPandas(unpack, "code bigint, ord bigint, batch int"), "p4-compact")
-        self._add(codes, f"c{low}-{high}", low, high)
-        for s in singles:
+        stored = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in held])
+        codes = first_codes(stored.select("codes", "ords", "low_batch").mapInPandas(unpack, "code bigint, ord bigint, batch int"))
+        self._add(cut_lineage(codes, "p4-compact"), name, low, high)
+        for s in held:
             self._drop(f"shards/{'_'.join(map(str, s))}")

@@ -261,6 +261,46 @@ def test_stored_index_gives_the_same_batch_by_batch(spark, tmp_path):
     assert "h" in names and "c1-3" in names and "c10-12" in names and not any(n.startswith("b") for n in names)
 
 
+@pytest.mark.parametrize("case", ["closing batch again", "failure amid the drops", "gap", "late batch"])
+def test_stored_index_keeps_every_batch(spark, tmp_path, monkeypatch, case):
+    rng = random.Random(45)
+    codes = [rng.getrandbits(64) for _ in range(4)]
+    index = batch_dedup.StoredIndex(spark, str(tmp_path / "index"), fanout=3)
+
+    def give(batch, *of):
+        """Kinds of a batch with one near form of each of ``codes[of]``; three bits of its own flipped."""
+        rows = [asset(100 * batch + k, f"{codes[k] ^ (7 << 3 * batch):016x}", f"{batch}-{k}", batch_id=batch) for k in of]
+        return [r["kind"] for r in index.accept(assets(spark, *rows), batch).orderBy("ord").collect()]
+
+    give(0, 0)
+    assert give(1, 1) == ["new"] and give(2, 2) == ["new"]
+    if case == "closing batch again":
+        assert give(3, 3) == ["new"] and [s[0] for s in index.plan()] == ["c1-3", "h"]
+        assert give(3, 1, 2, 3) == ["near", "near", "new"]
+    elif case == "failure amid the drops":
+        drop, left = index._drop, [1]
+
+        def failing(name):
+            if name.startswith("shards/b") and not left.pop():
+                raise OSError("stopped")
+            drop(name)
+            left.append(0)
+
+        with monkeypatch.context() as m:
+            m.setattr(index, "_drop", failing)
+            with pytest.raises(OSError):
+                give(3, 3)
+        assert give(3, 1, 2, 3) == ["near", "near", "new"]
+    elif case == "late batch":
+        assert give(4, 1, 2) == ["near", "near"]
+        assert give(3, 1, 3) == ["near", "new"]
+    assert give(4, 1, 2) == ["near", "near"] and give(7, 0, 1, 2) == ["near"] * 3
+    if case != "gap":
+        assert give(8, 3) == ["near"]
+    runs = [s[1:3] for s in index.plan()]
+    assert sorted(runs) == sorted(set(runs)) and (1, 3) in runs and not any(s[0][0] == "b" and s[2] <= 6 for s in index.plan())
+
+
 # problem 5
 
 

@@ -7,8 +7,9 @@ scoring a text is a gather. Each letter gets the mean score of the subwords that
 over a window; runs of one best language are the stretches. Confidences are softmax values at a
 temperature fitted on held-out rows; a stretch under the calibrated threshold is not accepted.
 
-Training rows are a bounded sample (``sample_rows``, by hash of the key) of the labelled rows;
-scoring covers every row and every letter.
+Training rows are a bounded sample (``sample_rows``, by hash of the key) of the labelled rows, with
+a least number of each label; scoring covers every row and every letter. A language that has a
+script but no labelled row at all is unknown to the model; ``languages`` names it by its script.
 """
 
 from __future__ import annotations
@@ -248,11 +249,18 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (2, 3),
 
 
 def fit(df: DataFrame, key: str, text: str = "transcript", label: str = "lang", keep: tuple[str, ...] = ("ja", "ko", "latin"), sample_rows: int = 6000, **kw) -> LangModel:
-    """Train on at most ``sample_rows`` rows with one of the labels ``keep``, chosen by hash of the key."""
+    """Train on ``sample_rows`` rows with one of the labels ``keep``, chosen by hash of the key, and on
+    more of a label that has less than a fifth of an even share among them, up to that many."""
     labelled = df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), clean_label(F.col(label)).alias("l")).where(F.col("t").isNotNull() & F.col("l").isin(*keep))
-    share = min(1.0, 2 * sample_rows / max(1, labelled.count()))  # what is sorted and sent to the driver stays bounded
-    drawn = labelled.withColumn("h", F.xxhash64("k", F.lit("lang"))).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1_000_000))
-    rows = drawn.orderBy("h", "t").limit(sample_rows).collect()
+    sizes = {r["l"]: r["n"] for r in labelled.groupBy("l").agg(F.count("*").alias("n")).collect()}  # one row per label
+    least = max(1, sample_rows // (5 * len(keep)))
+    share = 2 * sample_rows / max(1, sum(sizes.values()))  # what is sorted and sent to the driver stays bounded
+    most = {l: math.ceil(min(1.0, max(share, 2 * least / n)) * 1_000_000) for l, n in sizes.items()}
+    bound = F.coalesce(*[F.when(F.col("l") == l, n) for l, n in most.items()], F.lit(0))
+    drawn = sorted(labelled.withColumn("h", F.xxhash64("k", F.lit("lang"))).where(F.pmod("h", F.lit(1_000_000)) < bound).collect(), key=lambda r: (r["h"], r["t"]))
+    rows, rest = drawn[:sample_rows], drawn[sample_rows:]
+    for l in sorted(sizes):
+        rows += [r for r in rest if r["l"] == l][: max(0, least - sum(r["l"] == l for r in rows))]
     return train([canonical(r["t"]) for r in rows], [r["l"] for r in rows], **kw)
 
 
@@ -296,7 +304,8 @@ def identify(df: DataFrame, model: LangModel, key: str, text: str, enough: int =
 
 
 def languages(df: DataFrame, model: LangModel, key: str, text: str, carry: str) -> DataFrame:
-    """(key, carry, lang, letters, script_letters, most): a row per language the model finds in a text.
+    """(key, carry, lang, letters, script_letters, most): a row per language the model finds in a text,
+    and per language whose script is in it and that the model has no label for (its letters are 0).
 
     ``carry`` is the column of that name, as it is, for a later comparison. letters counts the model's letters of the language, script_letters those of its script, most
     the largest script_letters of the text. Vectorised over whole Arrow batches."""
@@ -304,18 +313,21 @@ def languages(df: DataFrame, model: LangModel, key: str, text: str, carry: str)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, scripts, names = b.value, script_table(), list(SCRIPT_RANGES)
-        to_script = np.array([names.index(x) if x in names else -1 for x in m.labels])
+        labels = [*m.labels, *[x for x in names if x not in m.labels]]
+        to_script = np.array([names.index(x) if x in names else -1 for x in labels])
         for pdf in batches:
             texts = [canonical(t) if t is not None else "" for t in pdf["t"]]
             s = m.segments(texts)
-            n, c = len(texts), len(m.labels)
+            n, c = len(texts), len(labels)
             found = np.bincount(s["row"] * c + s["label"], weights=s["letters"], minlength=n * c).reshape(n, c).astype(np.int64)
             cps, row_of = flatten(texts)
             k = scripts[cps]
             own = np.bincount(row_of[k > 0] * len(names) + k[k > 0] - 1, minlength=n * len(names)).reshape(n, len(names))
-            r, lab = np.nonzero(found)
+            named = found > 0
+            named[:, len(m.labels) :] = own[:, to_script[len(m.labels) :]] > 0
+            r, lab = np.nonzero(named)
             at = to_script[lab]
-            yield pd.DataFrame({"k": pdf["k"].to_numpy()[r], "carry": pdf["carry"].to_numpy()[r], "lang": np.array(m.labels, dtype=object)[lab], "letters": found[r, lab], "script_letters": np.where(at >= 0, own[r, at], 0), "most": own.max(axis=1)[r]})
+            yield pd.DataFrame({"k": pdf["k"].to_numpy()[r], "carry": pdf["carry"].to_numpy()[r], "lang": np.array(labels, dtype=object)[lab], "letters": found[r, lab], "script_letters": np.where(at >= 0, own[r, at], 0), "most": own.max(axis=1)[r]})
 
     kind = df.schema[key].dataType.simpleString()
     return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(carry).alias("carry"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, carry string, lang string, letters long, script_letters long, most long").withColumnRenamed("k", key)

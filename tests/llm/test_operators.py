@@ -214,6 +214,17 @@ def test_training_on_few_rows(spark):
     assert lang_id.fit(spark.createDataFrame([], TEXTS), "ord").labels == ["und"]
 
 
+def test_rare_labels_are_drawn_and_missing_ones_counted_by_script(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.choice(JA) + str(k), "ja") for k in range(3000)] + [(3000 + k, rng.choice(LA), "latin") for k in range(40)]
+    rare = spark.createDataFrame([*rows, (4000, KO[0], "ko"), (4001, KO[1], "kr")], TEXTS)
+    assert lang_id.fit(rare, "ord", sample_rows=150).labels == ["ja", "ko", "latin"]
+    asked = spark.createDataFrame([(1, KO[0], "ja"), (2, KO[0], "ko"), (3, KO[0] + " " + LA[0], "ko"), (4, JA[0], "ko")], TEXTS)
+    never = lang_id.fit(spark.createDataFrame(rows, TEXTS), "ord", sample_rows=150)
+    assert never.labels == ["ja", "latin"]
+    assert sorted(tuple(r) for r in lang_id.wrong_labels(asked, never).collect()) == [(1, "ko"), (3, "ko"), (3, "latin"), (4, "ja")]
+
+
 # problem 4
 
 

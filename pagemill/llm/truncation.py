@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 BITS = 18
 WORD_BITS = 18
-TAIL = 600
 _END = ".!?。！？．｡"
 _CLOSE = "\"'”’»」』）)]】〉》*_"
 _ENDED = re.compile(rf"[{re.escape(_END)}][{re.escape(_CLOSE)}]*$")
@@ -41,6 +40,7 @@ _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _SPEAKER = re.compile(r"^\s*\S{1,30}(?: \S{1,30})?[:：]\s")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _KO = re.compile(r"[가-힣ᄀ-ᇿ]")
+_QUOTE = re.compile(r"\n\s*“|[“”「」]")
 
 
 def _hash(*parts: object) -> int:
@@ -56,7 +56,7 @@ def peel(text: str) -> tuple[str, bool]:
     """The text without what was added after its last sentence, and whether an ellipsis was."""
     t, dots = text.rstrip(), False
     t = t.rstrip("​‌‍⁠﻿­").rstrip()
-    for _ in range(4):
+    while True:
         for p in (_SIGNED, _FACE, _REMARK):
             m = p.search(t[-80:])
             if m and m.start() + max(0, len(t) - 80) > 0:
@@ -70,11 +70,26 @@ def peel(text: str) -> tuple[str, bool]:
     return t, dots
 
 
+def quotation_open(t: str) -> bool:
+    """Whether a quotation is open at the end. An open one may begin again with a paragraph."""
+    double = corner = 0
+    for q in _QUOTE.findall(t):
+        if q == "「":
+            corner += 1
+        elif q == "」":
+            corner = max(0, corner - 1)
+        elif q == "”":
+            double = max(0, double - 1)
+        else:
+            double = double + 1 if q == "“" else max(1, double)
+    return double > 0 or corner > 0
+
+
 def last_sentence(t: str) -> tuple[str, bool]:
     """The last sentence of a peeled text, as far as it goes, and whether it is ended."""
-    tail = t[-TAIL:]
-    ended = bool(_ENDED.search(tail[-12:]))
-    body = _ENDED.sub("", tail) if ended else tail
+    m = _ENDED.search(t, max(0, len(t) - 12))
+    ended = bool(m)
+    body = t[: m.start()] if m else t
     at = 0
     for m in _SENTENCE.finditer(body):
         at = m.end()
@@ -139,7 +154,7 @@ def hashed(text: str, source: str | None, st: Statistics) -> list[int]:
     markup = bool(_MARKUP.search(core[-60:]))
     add("markup", markup)
     add("broken", "�" in core[-4:])
-    add("opens", core.count("“", -TAIL) > core.count("”", -TAIL) or core[-TAIL:].count("「") > core[-TAIL:].count("」"))
+    add("opens", quotation_open(core))
     for n in (1, 2, 3, 4):
         add("c", n, core[-n:].lower() if script == "l" else core[-n:])
     add("kind", "p" if end and not end.isalnum() else "a", end if end and not end.isalnum() else "")

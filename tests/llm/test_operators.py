@@ -535,3 +535,15 @@ def test_endings():
     assert truncation.peel("It en…") == ("It en", True) and truncation.peel("") == ("", False)
     assert truncation.last_sentence("One. Two three") == ("Two three", False) and truncation.last_sentence("「はい」と言う。次は")[0] == "次は"
     assert truncation.last_sentence("One. Anna: Two three.") == ("Two three", True)
+
+
+def test_truncation_reads_whole_texts():
+    long = "word " * 400
+    assert truncation.last_sentence(f"One. {long}end") == (f"{long}end", False) and truncation.last_sentence(f"One. {long}end.") == (f"{long}end", True)
+    for opening, closing in ("“”", "「」"):
+        assert truncation.quotation_open(opening + long) and not truncation.quotation_open(opening + long + closing)
+        assert truncation.quotation_open(closing + opening + long)
+    assert not truncation.quotation_open("“One.\n\n“Two.”") and truncation.quotation_open("「a「b」" + long)
+    st = truncation.Statistics(np.zeros(1 << truncation.WORD_BITS, int), np.zeros(1 << truncation.WORD_BITS, int), {})
+    assert truncation.hashed(f"“{long}end.", None, st) != truncation.hashed(f"{long}end.", None, st)
+    assert truncation.peel("It ended." + " ^^" * 9) == ("It ended.", False)

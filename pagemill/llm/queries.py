@@ -95,6 +95,10 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mixture_shares(table(spark, d, "documents"), table(spark, d, "source_targets"))
 
 
+def p8_targets(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.kept_targets(table(spark, d, "documents"), table(spark, d, "source_targets"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncated(table(spark, d, "documents"))
 
@@ -103,7 +107,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.rates(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares, p9_found, p9_rates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares, p8_targets, p9_found, p9_rates)}
 
 _CODE = "CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{16}') AND lower(trim(phash)) NOT IN ('0000000000000000', 'ffffffffffffffff') THEN ('0x' || lower(trim(phash)))::UBIGINT END"
 _SAME = "(a.sha = b.sha OR bit_count(xor(a.code, b.code)) <= 6)"
@@ -152,4 +156,7 @@ SQL: dict[str, str] = {
         SELECT replace(lower(trim(series_id)), '_', '-') AS series_id FROM dataset_manifest
         WHERE lower(trim(split)) IN ('train', 'val', 'test') AND trim(series_id) <> ''
         GROUP BY 1 HAVING count(DISTINCT lower(trim(split))) > 1""",
+    "p8_targets": """
+        SELECT source, true AS share_kept, true AS cap_kept FROM source_targets t
+        WHERE target_share > 0 AND max_repeats > 0 AND EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND d.text <> '')""",
 }

@@ -547,3 +547,26 @@ def test_truncation_reads_whole_texts():
     st = truncation.Statistics(np.zeros(1 << truncation.WORD_BITS, int), np.zeros(1 << truncation.WORD_BITS, int), {})
     assert truncation.hashed(f"“{long}end.", None, st) != truncation.hashed(f"{long}end.", None, st)
     assert truncation.peel("It ended." + " ^^" * 9) == ("It ended.", False)
+
+
+def test_mixture_keeps_targets_when_shards_are_small(spark):
+    rows = [(i, "a", 100 if i % 2 else 900) for i in range(8_000)] + [(i, "b", 1_000) for i in range(8_000, 16_000)] + [(20_000, "c", 40)]
+    counted = spark.createDataFrame(rows, "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 2), ("z", 0.1, 3)], "source string, target_share double, max_repeats int")
+    for shard_docs in (100, 3_000):
+        used = mixture._mix(counted, targets, "doc_id", None, 20, shard_docs, 42).groupBy("source").agg(F.sum(F.col("tokens") * F.col("uses")).alias("n"), F.max("uses").alias("most")).collect()
+        total = sum(r["n"] for r in used)
+        assert {r["source"] for r in used} == {"a", "b"} and all(abs(r["n"] / total - 0.5) <= 0.005 and r["most"] <= 2 for r in used)
+        assert abs(total - 16_000_000) <= 0.005 * 16_000_000  # source a is used up to its cap
+
+
+def test_sainte_lague_gives_the_seats_of_highest_quotients():
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        n, seats = int(rng.integers(1, 9)), int(rng.integers(0, 60))
+        weights, caps = rng.integers(0, 9, n).astype(float).tolist(), rng.integers(0, 15, n).tolist()
+        want, quotients = [0] * n, sorted((-w / (2 * k + 1), i, k) for i, w in enumerate(weights) for k in range(caps[i]) if w > 0)
+        for _, i, _ in quotients[:seats]:
+            want[i] += 1
+        assert mixture.sainte_lague(weights, seats, caps) == want
+    assert sum(mixture.sainte_lague([0.2, 0.3, 0.5], 10**12, [10**12] * 3)) == 10**12

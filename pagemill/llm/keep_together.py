@@ -1,10 +1,11 @@
 """Problem 6: splits near given proportions in which no series is divided.
 
-Method: largest differencing. Every component (all records of one series under any spelling) is a
-weight; the two heaviest partial partitions are merged again and again, the fullest bin of one
+Method: largest differencing. Records that share a series (under any spelling), a page (its path)
+or, with the catalog, an image (sha256) are connected, also through other records; every component
+is a weight. The two heaviest partial partitions are merged again and again, the fullest bin of one
 with the emptiest of the other, into many near-equal bins; whole bins then go to the splits. The
 differencing runs per shard of components in parallel and, being a merge of partial partitions,
-once more over the shards' results on the driver: at most ``max_shards * bins`` numbers.
+once more over the shards' results on the driver: ``bins`` numbers per ``shard_units`` components.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import strip
-from pagemill.llm.split_overlap import clean_split
+from pagemill.llm.graph import components
+from pagemill.llm.split_overlap import clean_split, slash_path
 from pagemill.session import cut_lineage
 
 TARGETS = {"train": 0.80, "val": 0.10, "test": 0.10}
@@ -94,47 +96,79 @@ def bins_to_splits(sums: np.ndarray, targets: dict[str, float]) -> list[str]:
     return out
 
 
-def keep_together(manifest: DataFrame, targets: dict[str, float] | None = None, bins: int = 100, shard_units: int = 20_000, max_shards: int = 512) -> DataFrame:
-    """(unit, series_id, records, old_splits, bin, split): a split for each component.
+def records(manifest: DataFrame) -> DataFrame:
+    """(unit_key, series_id, path, old): what ties each record. The key is its series, else its page."""
+    series, path = clean_series(F.col("series_id")), slash_path(F.col("image_path"))
+    rows = manifest.select(series.alias("series_id"), path.alias("path"), clean_split(F.col("split")).alias("old"))
+    return rows.select(F.coalesce(F.concat(F.lit("series "), "series_id"), F.concat(F.lit("page "), "path"), F.lit("none")).alias("unit_key"), "series_id", "path", "old")
 
-    Records without a series (null or blank) are their own component per image path, or one
-    component if that is missing too; their series_id is null. An empty table gives no rows. A
-    component heavier than a split's target goes whole to the split furthest below its target.
+
+def ties(rows: DataFrame, assets: DataFrame | None) -> DataFrame:
+    """(u, v): hashes of the keys that stand together in a record, of a page and of an image of it."""
+    page = F.xxhash64(F.concat(F.lit("page "), "path"))
+    out = rows.where("series_id is not null and path is not null").select(F.xxhash64("unit_key").alias("u"), page.alias("v")).distinct()
+    if assets is not None:
+        paths = rows.where("path is not null").select("path").distinct()
+        images = assets.select(slash_path(F.col("image_path")).alias("path"), F.lower(F.trim("sha256")).alias("sha")).where("sha is not null").distinct().join(paths, "path", "left_semi")
+        out = out.unionByName(images.select(page.alias("u"), F.xxhash64(F.concat(F.lit("image "), "sha")).alias("v")))
+    return out
+
+
+def keep_together(manifest: DataFrame, assets: DataFrame | None = None, targets: dict[str, float] | None = None, bins: int = 100, shard_units: int = 20_000) -> DataFrame:
+    """(unit, unit_key, series_id, records, old, bin, split): a row per series and per page without
+    one; old is a map of the splits its records stand in now, with their number.
+
+    Rows of one component have one ``unit`` and one split. ``assets`` is the catalog that knows the
+    sha256 of a path; without it pages are tied by path alone. Records without series (null or
+    blank) and path are one component. An empty table gives no rows. A component heavier than a
+    split's target goes whole to the split furthest below its target.
     """
     targets = targets or TARGETS
-    series = clean_series(F.col("series_id"))
-    alone = F.concat(F.lit("page "), F.coalesce(F.regexp_replace("image_path", r"\\", "/"), F.lit("")))
-    rows = manifest.select(series.alias("series_id"), F.coalesce(F.concat(F.lit("series "), series), alone).alias("unit"), clean_split(F.col("split")).alias("split"))
-    units = cut_lineage(rows.groupBy("unit", "series_id").agg(F.count("*").alias("records"), F.array_sort(F.collect_set("split")).alias("old_splits")), "p6-units")
-    n = units.count()
-    shards = max(1, min(max_shards, -(-n // shard_units)))
+    rows = records(manifest)
+    counts = rows.groupBy("unit_key", "series_id", "old").agg(F.count("*").alias("n"))
+    splits = F.map_from_entries(F.filter(F.collect_list(F.struct("old", "n")), lambda x: x["old"].isNotNull()))  # three entries at most
+    keys = cut_lineage(counts.groupBy("unit_key", "series_id").agg(F.sum("n").alias("records"), splits.alias("old")), "p6-keys")
+    roots = components(ties(rows, assets))
+    node = F.xxhash64("unit_key")
+    keys = cut_lineage(keys.withColumn("node", node).join(roots, "node", "left").select(F.coalesce("root", "node").alias("unit"), "unit_key", "series_id", "records", "old"), "p6-units")
+    units = cut_lineage(keys.groupBy("unit").agg(F.sum("records").alias("records")), "p6-weights")
+    shards = max(1, -(-units.count() // shard_units))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["records", "unit"], ascending=[False, True])
         _, where = singletons(pdf["records"].to_numpy(float), bins)
-        return pd.DataFrame({"unit": pdf["unit"], "shard": pdf["shard"], "part": where})
+        return pd.DataFrame({"unit": pdf["unit"], "records": pdf["records"], "shard": pdf["shard"], "part": where})
 
     sharded = units.select("unit", "records", F.pmod(F.xxhash64("unit"), F.lit(shards)).cast("int").alias("shard"))
-    placed = sharded.groupBy("shard").applyInPandas(one, "unit string, shard int, part int")
-    placed = cut_lineage(units.join(placed, "unit"), "p6-parts")
+    placed = cut_lineage(sharded.groupBy("shard").applyInPandas(one, "unit long, records long, shard int, part int"), "p6-parts")
     sums = np.zeros((shards, bins))
-    for r in placed.groupBy("shard", "part").agg(F.sum("records").alias("n")).collect():
-        sums[r["shard"], r["part"]] = r["n"]
+    per = placed.groupBy("shard", "part").agg(F.sum("records").alias("n")).toPandas()
+    sums[per["shard"].to_numpy(int), per["part"].to_numpy(int)] = per["n"]
     total, maps = difference(list(sums))
-    split = bins_to_splits(total, targets)
-    table = [(s, b, int(maps[s][b]), split[maps[s][b]]) for s in range(shards) for b in range(bins)]
-    bound = F.broadcast(placed.sparkSession.createDataFrame(table, "shard int, part int, bin int, split string"))
-    return placed.join(bound, ["shard", "part"]).select("unit", "series_id", "records", "old_splits", "bin", "split")
+    split = np.array(bins_to_splits(total, targets), dtype=object)
+    of = np.stack(maps).ravel()
+    plan = pd.DataFrame({"shard": np.repeat(np.arange(shards), bins), "part": np.tile(np.arange(bins), shards), "bin": of, "split": split[of]})
+    bound = placed.sparkSession.createDataFrame(plan, "shard int, part int, bin int, split string")
+    return keys.join(placed.join(bound, ["shard", "part"]).select("unit", "bin", "split"), "unit").select("unit", "unit_key", "series_id", "records", "old", "bin", "split")
 
 
-def divided(manifest: DataFrame) -> DataFrame:
-    """(series_id): series that stand in more than one split now."""
-    return keep_together(manifest).where("series_id is not null and size(old_splits) > 1").select("series_id")
+def divided(manifest: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+    """(series_id): series that stand in several splits now, so that the assignment brings records of
+    them together: from two other splits, or from one other to records that stay."""
+    others = F.size(F.filter(F.map_keys("old"), lambda s: s != F.col("split")))
+    stays = F.map_contains_key("old", F.col("split"))
+    return keep_together(manifest, assets).where(F.col("series_id").isNotNull() & ((others >= 2) | ((others >= 1) & stays))).select("series_id")
 
 
-def shares(manifest: DataFrame) -> DataFrame:
+def shares(manifest: DataFrame, assets: DataFrame | None = None) -> DataFrame:
     """Per split: records and share that the assignment really gives, and the target."""
-    per = keep_together(manifest).groupBy("split").agg(F.sum("records").alias("records"), F.count("*").alias("components"))
+    per = keep_together(manifest, assets).groupBy("split").agg(F.sum("records").alias("records"), F.countDistinct("unit").alias("components"))
     total = F.sum("records").over(Window.partitionBy())  # over the three rows of per
     goal = F.element_at(F.create_map(*[x for s, t in TARGETS.items() for x in (F.lit(s), F.lit(t))]), F.col("split"))
     return per.select("split", "records", "components", (F.col("records") / total).alias("share"), goal.alias("target"))
+
+
+def assigned_pages(manifest: DataFrame, assets: DataFrame | None = None) -> DataFrame:
+    """(image_path, records, splits): per page its records and the number of splits they are assigned to."""
+    placed = keep_together(manifest, assets).select("unit_key", "split")
+    return records(manifest).where("path is not null").join(placed, "unit_key").groupBy(F.col("path").alias("image_path")).agg(F.count("*").alias("records"), F.countDistinct("split").alias("splits"))

@@ -68,15 +68,30 @@ def p5_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return keep_together.divided(table(spark, d, "dataset_manifest"))
+    return keep_together.divided(table(spark, d, "dataset_manifest"), table(spark, d, "page_assets"))
 
 
 def p6_assignment(spark: SparkSession, d: str) -> DataFrame:
-    return keep_together.keep_together(table(spark, d, "dataset_manifest"))
+    return keep_together.keep_together(table(spark, d, "dataset_manifest"), table(spark, d, "page_assets"))
 
 
 def p6_shares(spark: SparkSession, d: str) -> DataFrame:
-    return keep_together.shares(table(spark, d, "dataset_manifest"))
+    return keep_together.shares(table(spark, d, "dataset_manifest"), table(spark, d, "page_assets"))
+
+
+def p6_pages(spark: SparkSession, d: str) -> DataFrame:
+    return keep_together.assigned_pages(table(spark, d, "dataset_manifest"), table(spark, d, "page_assets"))
+
+
+def p6_series(spark: SparkSession, d: str) -> DataFrame:
+    """Per series its records and the number of splits it is assigned to."""
+    placed = p6_assignment(spark, d).where("series_id is not null")
+    return placed.groupBy("series_id").agg(F.sum("records").alias("records"), F.countDistinct("split").alias("splits"))
+
+
+def p6_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the share of each split is within a hundredth of its target."""
+    return p6_shares(spark, d).select("split", (F.abs(F.col("share") - F.col("target")) <= 0.01).alias("kept"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -107,7 +122,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.rates(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p7_found, p7_report, p8_mixture, p8_shares, p8_targets, p9_found, p9_rates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p6_pages, p6_series, p6_targets, p7_found, p7_report, p8_mixture, p8_shares, p8_targets, p9_found, p9_rates)}
 
 _CODE = "CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{16}') AND lower(trim(phash)) NOT IN ('0000000000000000', 'ffffffffffffffff') THEN ('0x' || lower(trim(phash)))::UBIGINT END"
 _SAME = "(a.sha = b.sha OR bit_count(xor(a.code, b.code)) <= 6)"
@@ -156,6 +171,9 @@ SQL: dict[str, str] = {
         SELECT replace(lower(trim(series_id)), '_', '-') AS series_id FROM dataset_manifest
         WHERE lower(trim(split)) IN ('train', 'val', 'test') AND trim(series_id) <> ''
         GROUP BY 1 HAVING count(DISTINCT lower(trim(split))) > 1""",
+    "p6_pages": "SELECT replace(image_path, '\\', '/') AS image_path, count(*) AS records, 1 AS splits FROM dataset_manifest WHERE image_path IS NOT NULL GROUP BY 1",
+    "p6_series": "SELECT replace(lower(trim(series_id)), '_', '-') AS series_id, count(*) AS records, 1 AS splits FROM dataset_manifest WHERE trim(series_id) <> '' GROUP BY 1",
+    "p6_targets": "SELECT unnest(['train', 'val', 'test']) AS split, true AS kept",
     "p8_targets": """
         SELECT source, true AS share_kept, true AS cap_kept FROM source_targets t
         WHERE target_share > 0 AND max_repeats > 0 AND EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND d.text <> '')""",

@@ -348,16 +348,25 @@ def test_instants(spark):
 
 def test_keep_together(spark):
     rng = random.Random(6)
-    rows = [(f"p{i}.png", f"s_{rng.randint(0, 300)}", "train") for i in range(4000)] + [(f"h{i}.png", "hot", rng.choice(["train", "val"])) for i in range(2000)] + [("x.png", " S_1 ", "val"), ("y.png", "s-1", "TEST"), ("n.png", None, "val"), ("n.png", "", "train"), (None, None, None)]
+    rows = [(f"p{i}.png", f"s_{rng.randint(0, 300)}", "train") for i in range(4000)] + [(f"h{i}.png", "hot", rng.choice(["train", "val"])) for i in range(2000)]
+    rows += [("x.png", " S_1 ", "val"), ("y.png", "s-1", "TEST"), ("n.png", None, "val"), ("n.png", "", "train"), (None, None, None), ("p\\7.png", "other", "test"), ("p/7.png", "third", None), ("x.png", None, "val")]
     m = manifest(spark, *rows)
     got = keep_together.keep_together(m, shard_units=50).collect()
-    assert sum(r["records"] for r in got) == len(rows) and len({r["unit"] for r in got}) == len(got)
+    assert sum(r["records"] for r in got) == len(rows) and len({r["unit_key"] for r in got}) == len(got)
+    assert len({r["unit"] for r in got if r["series_id"] in ("other", "third")}) == 1 and len({r["unit"] for r in got if r["unit_key"] in ("series s-1", "page x.png")}) == 1
+    assert all(len({r["split"] for r in got if r["unit"] == u}) == 1 for u in {r["unit"] for r in got})
     total = {s: sum(r["records"] for r in got if r["split"] == s) / len(rows) for s in ("train", "val", "test")}
     assert all(abs(total[s] - t) < 0.02 for s, t in keep_together.TARGETS.items()), total
     assert {r["series_id"] for r in keep_together.divided(m).collect()} == {"hot", "s-1"}
-    given = {r["split"]: r["share"] for r in keep_together.shares(m).collect()}
-    assert set(given) == set(total) and abs(sum(given.values()) - 1) < 1e-9 and all(abs(given[s] - t) < 0.02 for s, t in keep_together.TARGETS.items())
-    assert keep_together.keep_together(m.limit(0)).count() == 0 and keep_together.divided(m.limit(0)).count() == 0
+    assert all(r["splits"] == 1 for r in keep_together.assigned_pages(m).collect())
+    assert keep_together.keep_together(m.limit(0)).count() == 0
+
+
+def test_one_image_under_two_paths_keeps_series_together(spark):
+    m = manifest(spark, ("a.png", "one", "train"), ("b.png", "two", "val"), ("c.png", "three", "val"))
+    catalog = clash(spark.createDataFrame([("a.png", "AB"), ("b.png", "ab "), ("c.png", None), (None, "ab"), ("z.png", "ab")], "image_path string, sha256 string"))
+    got = {r["series_id"]: r["unit"] for r in keep_together.keep_together(m, catalog).collect()}
+    assert got["one"] == got["two"] != got["three"]
 
 
 def test_differencing():

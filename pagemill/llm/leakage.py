@@ -3,18 +3,19 @@
 Method: windows of both texts are embedded by the CGK random walk, which turns edit distance into
 Hamming distance; repeated bit-sampling LSH on the embeddings gives candidate window pairs; each
 is verified exactly (identical stretch, or edit distance within a band) against the two texts.
-
-Item windows start at every letter. For identical stretches of ``min_run`` letters alone, document
-windows of ``window`` letters at every ``min_run - window + 1`` letters are enough: each common
-stretch holds an aligned pair of equal windows, and equal windows have equal embeddings, so recall
-is certain. The near search has document windows at every letter too. Identical stretches of
-``window`` letters are then certain, and the repetitions are chosen so that a passage of
-``passage`` letters with an edit in every ``spacing`` comes out with the probability ``recall``.
 Around every verified window its neighbours are verified too, so what is covered of an item does
 not hang on which of the windows met.
 
-The items are the stated query set: they go to the executors in blocks of bounded size and the
-documents are read once per block, without a shuffle.
+Windows are of the size of the part of an item that is to be found, less the stride: item windows
+start at every letter, document windows at every ``stride`` letters, so a passage holds an aligned
+pair at any phase, and identical stretches of ``window + stride - 1`` letters meet with certainty.
+For edited passages the repetitions are derived: the fewest with which stated passages (``passage``
+letters with an edit in every ``spacing``) come up with the probability ``recall``.
+
+Items of up to ``block_letters`` letters are the stated query set: one index goes to the executors
+and the documents are read once, without a shuffle. More items are joined with the documents by
+window key; a table of bits of fixed size, which says what keys items have, goes to the executors,
+so that only windows with such a key are shuffled.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,14 +31,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.canonical_text import _GONE
+from pagemill.session import cut_lineage
 
 _NOT_ALNUM = re.compile(r"[\W_]+")
-#: Letters of items per block: about 20 MB a repetition on each executor's worker.
+#: Letters of items that one index may hold: about 20 MB a repetition on each executor's worker.
 BLOCK_LETTERS = 1_000_000
-#: The near search: the shortest edited passage, letters to an edit, and the share of such passages to be found.
-PASSAGE, SPACING, RECALL, MOST_REPETITIONS = 45, 15, 0.99, 32
-#: Letters of documents that are windowed at once.
+MOST_REPETITIONS = 64
+#: Bits of the table of item keys, for more items than that: 32 MB.
+KEY_BITS = 28
+#: Letters of documents that are windowed at once, and windows that are embedded at once.
 CHUNK_LETTERS = 1_000_000
+BLOCK_WINDOWS = 32_768
+
+
+@dataclass(frozen=True)
+class Search:
+    """What is to be found: ``recall`` of the passages of ``passage`` letters with an edit in every
+    ``spacing``, and how: windows, their stride in documents, letters sampled per key."""
+
+    window: int
+    stride: int
+    passage: int
+    spacing: int
+    recall: float
+    samples: int = 8
+
+
+#: Identical stretches of 42 letters are certain; one edit in 20 letters of a passage of 60.
+PASSAGES = Search(31, 12, 60, 20, 0.95)
+#: Identical stretches of 31 letters are certain; one edit in 15 letters of a passage of 45.
+CLOSE = Search(28, 4, 45, 15, 0.99)
 
 
 def letters_only(text: str | None) -> str:
@@ -55,31 +79,57 @@ class Embedding:
     """CGK walks and bit samples: ``keys`` maps windows to one LSH key per repetition."""
 
     def __init__(self, window: int, samples: int, repetitions: int, seed: int = 11):
-        rng = np.random.default_rng(seed)
-        self.window, self.steps, self.repetitions = window, 3 * window, repetitions
-        self.mul = rng.integers(1, 2**63, (repetitions, self.steps), dtype=np.uint64) | np.uint64(1)
-        # later steps are padding for windows that the walk has left, so the samples avoid the end
-        self.sampled = [np.isin(np.arange(self.steps), rng.choice(2 * window, samples, replace=False)) for _ in range(repetitions)]
+        self.window, self.repetitions = window, repetitions
+        # a walk is at step j some j / 2 letters on: 2 * window steps see the whole window
+        steps = 2 * window
+        rngs = [np.random.default_rng((seed, r)) for r in range(repetitions)]
+        self.mul = np.array([g.integers(1, 2**63, steps, dtype=np.uint64) for g in rngs]) | np.uint64(1)
+        self.sampled = [np.isin(np.arange(steps), g.choice(steps, min(samples, steps), replace=False)) for g in rngs]
+
+    def only(self, r: int) -> Embedding:
+        """One repetition alone."""
+        one = Embedding(self.window, 1, 1)
+        one.repetitions, one.mul, one.sampled = 1, self.mul[r : r + 1], self.sampled[r : r + 1]
+        return one
 
     def keys(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """(repetitions, windows) keys of the windows of ``codes`` that begin at ``starts``."""
         out = np.empty((self.repetitions, len(starts)), np.uint64)
-        wide = codes.astype(np.uint64)
-        for r in range(self.repetitions):
-            at = np.zeros(len(starts), np.int64)
-            key = np.full(len(starts), r + 1, np.uint64)
-            last = int(np.nonzero(self.sampled[r])[0].max())
-            for j in range(last + 1):
-                inside = at < self.window
-                c = np.where(inside, wide[starts + np.minimum(at, self.window - 1)], np.uint64(0))
-                if self.sampled[r][j]:
-                    key = (key ^ c) * np.uint64(0x9E3779B97F4A7C15)
-                    key ^= key >> np.uint64(31)
-                at += (((c + np.uint64(j)) * self.mul[r, j]) >> np.uint64(63)).astype(np.int64)
-            out[r] = key
+        wide = np.append(codes.astype(np.uint64), np.zeros(2 * self.window, np.uint64))
+        for a in range(0, len(starts), BLOCK_WINDOWS):
+            block = starts[a : a + BLOCK_WINDOWS]
+            for r in range(self.repetitions):
+                at = block.astype(np.int64)
+                key = np.full(len(block), r + 1, np.uint64)
+                for j in range(int(np.nonzero(self.sampled[r])[0].max()) + 1):
+                    c = wide[at]
+                    if j >= self.window:
+                        c[at >= block + self.window] = 0  # padding for walks that have left the window
+                    if self.sampled[r][j]:
+                        key ^= c
+                        key *= np.uint64(0x9E3779B97F4A7C15)
+                        key ^= key >> np.uint64(31)
+                    c += np.uint64(j)
+                    c *= self.mul[r, j]
+                    c >>= np.uint64(63)
+                    at += c.view(np.int64)
+                out[r, a : a + BLOCK_WINDOWS] = key
         return out
 
 
+def window_starts(texts: list[str], window: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the windows in the joined texts, the text of each, and where each text begins."""
+    size = np.array([len(t) for t in texts], np.int64)
+    base = np.append(0, np.cumsum(size))
+    each = np.maximum(0, (size - window) // stride + 1)
+    owner = np.repeat(np.arange(len(texts)), each)
+    return base[owner] + stride * (np.arange(len(owner)) - np.repeat(np.cumsum(each) - each, each)), owner, base
+
+
+def letter_codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def edit_within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is at most ``most``; only a band of the table is filled."""
     if abs(len(a) - len(b)) > most:
@@ -103,33 +153,24 @@ class ItemIndex:
 
     def __init__(self, ids: list[int], texts: list[str], emb: Embedding):
         self.emb, self.ids, self.texts = emb, ids, texts
-        w = emb.window
-        starts, owner, offset, base = [], [], [], 0
-        for k, t in enumerate(texts):
-            n = max(0, len(t) - w + 1)
-            starts.append(base + np.arange(n))
-            owner.append(np.full(n, k))
-            offset.append(np.arange(n))
-            base += len(t)
-        self.codes = codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-        self.start = start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-        self.end = np.cumsum([len(t) for t in texts], dtype=np.int64)
-        self.owner, self.offset = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owner, offset))
-        keys = emb.keys(codes, start) if len(start) else np.zeros((emb.repetitions, 0), np.uint64)
+        self.codes = codes = letter_codes(texts)
+        self.start, self.owner, base = window_starts(texts, emb.window, 1)
+        self.offset, self.end = self.start - base[self.owner], base[1:]
+        keys = emb.keys(codes, self.start)
         self.order = np.argsort(keys, axis=1, kind="stable")
         self.sorted = np.take_along_axis(keys, self.order, axis=1)
 
     def candidates(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window pairs (row of ``keys``, item window) that agree in any repetition, each once."""
-        pairs = []
+        pairs, size = [], max(1, len(self.owner))
         for r in range(self.emb.repetitions):
             a = np.searchsorted(self.sorted[r], keys[r], "left")
-            hit = np.nonzero(self.sorted[r][np.minimum(a, len(self.owner) - 1)] == keys[r])[0]
+            hit = np.nonzero(self.sorted[r][np.minimum(a, size - 1)] == keys[r])[0]
             n = np.searchsorted(self.sorted[r], keys[r][hit], "right") - a[hit]
             at = np.repeat(a[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            pairs.append(np.stack([np.repeat(hit, n), self.order[r][at]]))
-        both = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        return both[0], both[1]
+            pairs.append(np.repeat(hit, n) * size + self.order[r][at])
+        both = np.unique(np.concatenate(pairs))
+        return both // size, both % size
 
 
 def common_run(a: str, i: int, b: str, j: int) -> tuple[int, int]:
@@ -156,39 +197,38 @@ def spread_edits(texts: np.ndarray, spacing: int, kind: str, rng: np.random.Gene
     return out
 
 
-def tune(window: int, samples: int, passage: int = PASSAGE, spacing: int = SPACING, recall: float = RECALL, count: int = 1000) -> tuple[int, float]:
-    """The fewest repetitions that bring up an aligned window of ``recall`` of stated test passages,
-    of random letters with an edit in every ``spacing``, for the worst kind of edit; and that share."""
+def tune(search: Search, count: int = 1000) -> tuple[int, float]:
+    """The fewest repetitions that bring up an aligned window of the stated passages, of random
+    letters and at any phase, for the worst kind of edit; and the share of them that come up."""
     rng = np.random.default_rng(23)
-    whole = rng.integers(97, 123, (count, max(passage, window)), dtype=np.uint32)
-    n = whole.shape[1] - window + 1
-    item_starts = (np.arange(count)[:, None] * whole.shape[1] + np.arange(n)).ravel()
+    w, passage = search.window, max(search.passage, search.window)
+    whole = rng.integers(97, 123, (count, passage), dtype=np.uint32)
+    n = passage - w + 1
+    item_starts = (np.arange(count)[:, None] * passage + np.arange(n)).ravel()
     item_of = np.repeat(np.arange(count, dtype=np.uint64), n)
     cases = []
     for kind in ("sub", "del", "ins"):
-        edited = spread_edits(whole, spacing, kind, rng)
+        edited = spread_edits(whole, search.spacing, kind, rng)
         base = np.cumsum([0, *map(len, edited)])[:-1]
-        each = [max(0, len(e) - window + 1) for e in edited]
-        starts = np.concatenate([b + np.arange(m) for b, m in zip(base, each)]).astype(np.int64)
-        cases.append((np.concatenate(edited), starts, np.repeat(np.arange(count, dtype=np.uint64), each)))
+        at = [np.arange(int(rng.integers(search.stride)), len(e) - w + 1, search.stride) for e in edited]
+        cases.append((np.concatenate(edited), np.concatenate([b + x for b, x in zip(base, at)]).astype(np.int64), np.repeat(np.arange(count, dtype=np.uint64), [len(x) for x in at])))
     mark = lambda of: of * np.uint64(0xD6E8FEB86659FD93)
-    for repetitions in range(1, MOST_REPETITIONS + 1):
-        emb = Embedding(window, samples, repetitions)
-        ours = emb.keys(whole.ravel(), item_starts)
-        reached = 1.0
-        for codes, starts, of in cases:
-            theirs, met = emb.keys(codes, starts), np.zeros(count, bool)
-            for r in range(repetitions):
-                met[of[np.isin(theirs[r] + mark(of), ours[r] + mark(item_of))].astype(np.int64)] = True
-            reached = min(reached, float(met.mean()))
-        if reached >= recall:
-            break
-    return repetitions, reached
-
-
-def most_edits(window: int, spacing: int = SPACING) -> int:
+    all_ = Embedding(w, search.samples, MOST_REPETITIONS)
+    met, reached = [np.zeros(count, bool) for _ in cases], 0.0
+    for r in range(MOST_REPETITIONS):
+        one = all_.only(r)
+        ours = one.keys(whole.ravel(), item_starts)[0] + mark(item_of)
+        for (codes, starts, of), m in zip(cases, met):
+            m[of[np.isin(one.keys(codes, starts)[0] + mark(of), ours)].astype(np.int64)] = True
+        reached = min(float(m.mean()) for m in met)
+        if reached >= search.recall:
+            return r + 1, reached
+    return MOST_REPETITIONS, reached
+
+
+def most_edits(search: Search) -> int:
     """Edits that a window can hold if every ``spacing`` letters hold one."""
-    return -(-(window - 1) // spacing) + 1
+    return -(-(search.window - 1) // search.spacing) + 1
 
 
 def near_spans(codes: np.ndarray, at: np.ndarray, index: ItemIndex, item: np.ndarray, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,28 +272,19 @@ def near_spans(codes: np.ndarray, at: np.ndarray, index: ItemIndex, item: np.nda
     return rows[ok], np.clip(start, low, high)[ok], np.clip(end, low, high)[ok]
 
 
-def match_texts(texts: list[str], index: ItemIndex, min_run: int, max_edits: int) -> list[tuple[int, int, int, int]]:
+def match_texts(texts: list[str], index: ItemIndex, stride: int, max_edits: int) -> list[tuple[int, int, int, int]]:
     """(text, item, longest identical stretch, letters of the item covered by verified windows)."""
     w = index.emb.window
-    stride = 1 if max_edits else min_run - w + 1
-    starts, owner, base = [], [], [0]
-    for k, t in enumerate(texts):
-        n = max(0, (len(t) - w) // stride + 1)
-        starts.append(base[-1] + stride * np.arange(n))
-        owner.append(np.full(n, k))
-        base.append(base[-1] + len(t))
-    start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+    start, owner, base = window_starts(texts, w, stride)
     if not len(start) or not len(index.owner):
         return []
-    owner, base = np.concatenate(owner), np.array(base)
-    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    codes = letter_codes(texts)
     inner = np.zeros(len(codes) + 1, bool)
-    if stride == 1:
-        # inside a run of one letter every window meets what the first and the last window of it meet
-        turns = np.append(0, np.cumsum(codes[1:] != codes[:-1]))
-        p = start[(start > base[owner]) & (start + w < base[owner + 1])]
-        inner[p] = turns[p + w] == turns[p - 1]
-        owner, start = owner[~inner[start]], start[~inner[start]]
+    # inside a run of one letter every window meets what the first and the last window of it meet
+    turns = np.append(0, np.cumsum(codes[1:] != codes[:-1]))
+    p = start[(start - stride >= base[owner]) & (start + w + stride <= base[owner + 1])]
+    inner[p] = turns[p + w + stride - 1] == turns[p - stride]
+    owner, start = owner[~inner[start]], start[~inner[start]]
     mine, theirs = index.candidates(index.emb.keys(codes, start))
     doc, item, p, q = owner[mine], index.owner[theirs], start[mine], index.start[theirs]
     same = np.ones(len(p), bool)
@@ -307,75 +338,118 @@ def match_texts(texts: list[str], index: ItemIndex, min_run: int, max_edits: int
     return out
 
 
-def item_blocks(items: DataFrame, item: str, text: str, block_letters: int) -> Iterator[tuple[list, list[str]]]:
-    ids: list = []
-    texts: list[str] = []
-    size = 0
-    for r in items.where(F.col(item).isNotNull()).select(F.col(item).alias("i"), F.col(text).alias("t")).toLocalIterator():
-        t = letters_only(r["t"])
-        if ids and size + len(t) > block_letters:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-        ids.append(r["i"])
-        texts.append(t)
-        size += len(t)
-    if ids:
-        yield ids, texts
+def _clean(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, t): keys and letters of the rows that have both."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"k": pdf["k"], "t": [letters_only(t) for t in pdf["t"]]})
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, t string")
 
 
-def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", min_run: int = 60, window: int = 31, samples: int = 12, repetitions: int | None = None, max_edits: int | None = None, block_letters: int = BLOCK_LETTERS, passage: int = PASSAGE, spacing: int = SPACING, recall: float = RECALL) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", text: str = "text", search: Search = CLOSE, repetitions: int | None = None, max_edits: int | None = None, block_letters: int = BLOCK_LETTERS) -> DataFrame:
     """(doc, item, longest_run, covered, item_letters): documents that hold passages of items.
 
     longest_run is the longest identical stretch found, covered the letters of the item inside
-    verified windows. Every common stretch of ``min_run`` letters is found and, unless ``max_edits``
-    is 0, every one of ``window`` letters and the share ``recall`` of edited passages of ``passage``
-    letters with an edit in every ``spacing``; ``repetitions`` and ``max_edits`` follow from these
-    if they are not given. Texts that are null, empty or
-    shorter than a window, and rows without an id, match nothing; repeated rows each give their own. Whole texts are read.
+    verified windows. Every common stretch of ``window + stride - 1`` letters is found, and the
+    stated share of edited passages; ``repetitions`` and ``max_edits`` follow from the search if
+    they are not given. Texts that are null, empty or shorter than a window, and rows without an id,
+    match nothing; repeated rows each give their own. Whole texts are read.
     """
     spark = docs.sparkSession
     kinds = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"{doc} {kinds[0]}, {item} {kinds[1]}, longest_run int, covered int, item_letters int"
-    source = docs.where(F.col(text).isNotNull() & F.col(doc).isNotNull()).select(F.col(doc).alias("d"), F.col(text).alias("t"))
+    columns = [doc, item, "longest_run", "covered", "item_letters"]
     if max_edits is None:
-        max_edits = most_edits(window, spacing)
+        max_edits = most_edits(search)
     if repetitions is None:
-        repetitions = tune(window, samples, passage, spacing, recall)[0] if max_edits else 1  # equal windows always meet
-    emb = Embedding(window, samples, repetitions)
-    out = None
-    for ids, texts in item_blocks(items, item, text, block_letters):
-        shared = spark.sparkContext.broadcast(ItemIndex(ids, texts, emb))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            index = shared.value
+        repetitions = tune(search)[0]
+    emb, stride = Embedding(search.window, search.samples, repetitions), search.stride
+    cleaned = cut_lineage(_clean(items, item, text), "p7-items")
+    size = cleaned.agg(F.sum(F.length("t"))).collect()[0][0] or 0
+    if size > block_letters:
+        return _joined(docs, cleaned, doc, text, emb, stride, max_edits, schema, columns)
+    rows = cleaned.where(F.length("t") >= search.window).collect()  # block_letters letters at most
+    shared = spark.sparkContext.broadcast(ItemIndex([r["k"] for r in rows], [r["t"] for r in rows], emb))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = shared.value
+        for pdf in batches:
+            rows: list[tuple] = []
+            chunk: list[str] = []
+            keys: list = []
+            size = 0
+
+            def flush() -> None:
+                for d, k, longest, covered in match_texts(chunk, index, stride, max_edits):
+                    rows.append((keys[d], index.ids[k], longest, covered, len(index.texts[k])))
+
+            for d, t in zip(pdf["d"], pdf["t"]):
+                chunk.append(letters_only(t))
+                keys.append(d)
+                size += len(chunk[-1])
+                if size >= CHUNK_LETTERS:
+                    flush()
+                    chunk, keys, size = [], [], 0
+            flush()
+            yield pd.DataFrame(rows, columns=columns)
+
+    return docs.where(F.col(text).isNotNull() & F.col(doc).isNotNull()).select(F.col(doc).alias("d"), F.col(text).alias("t")).mapInPandas(run, schema)
+
+
+def _joined(docs: DataFrame, items: DataFrame, doc: str, text: str, emb: Embedding, stride: int, max_edits: int, schema: str, columns: list[str]) -> DataFrame:
+    """The same for any number of items: windows meet by their key in a shuffle, pairs of a document
+    and an item that met are verified on their own."""
+    spark, w, bits = docs.sparkSession, emb.window, np.uint64(64 - KEY_BITS)
+
+    def windows(df: DataFrame, step: int, known=None) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                rows: list[tuple] = []
-                chunk: list[str] = []
-                keys: list = []
-                size = 0
-
-                def flush() -> None:
-                    for d, k, longest, covered in match_texts(chunk, index, min_run, max_edits):
-                        rows.append((keys[d], index.ids[k], longest, covered, len(index.texts[k])))
-
-                for d, t in zip(pdf["d"], pdf["t"]):
-                    chunk.append(letters_only(t))
-                    keys.append(d)
-                    size += len(chunk[-1])
-                    if size >= CHUNK_LETTERS:
-                        flush()
-                        chunk, keys, size = [], [], 0
-                flush()
-                yield pd.DataFrame(rows, columns=[doc, item, "longest_run", "covered", "item_letters"])
-
-        part = source.mapInPandas(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], schema) if out is None else out
-
-
-def leaked(docs: DataFrame, items: DataFrame, min_run: int = 60) -> DataFrame:
-    """(doc_id, item_id): a common stretch of at least ``min_run`` letters or digits."""
-    return leaks(docs, items, min_run=min_run, max_edits=0).where(F.col("longest_run") >= min_run).select("doc_id", "item_id").distinct()
+                texts = pdf["t"].tolist()
+                start, owner, _ = window_starts(texts, w, step)
+                keys = emb.keys(letter_codes(texts), start)
+                k, of = keys.ravel(), np.tile(owner, emb.repetitions)
+                if known is not None:
+                    slot = (k * np.uint64(0x9E3779B97F4A7C15)) >> bits
+                    hit = (known.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+                    k, of = k[hit], of[hit]
+                yield pd.DataFrame({"key": k.view(np.int64), "k": pdf["k"].to_numpy()[of]}).drop_duplicates()
+
+        return df.mapInPandas(run, f"key long, k {df.schema['k'].dataType.simpleString()}").distinct()
+
+    theirs = cut_lineage(windows(items, 1), "p7-item-windows")
+
+    def word_bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            s = (pdf["key"].to_numpy(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> bits
+            yield pd.DataFrame({"word": (s >> np.uint64(6)).astype(np.int64), "bit": (np.uint64(1) << (s & np.uint64(63))).view(np.int64)}).groupby("word", as_index=False).agg(bit=("bit", np.bitwise_or.reduce))
+
+    table = np.zeros(1 << (KEY_BITS - 6), np.uint64)
+    words = theirs.select("key").mapInPandas(word_bits, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas()  # as many rows as the table has words
+    table[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).view(np.uint64)
+    cleaned = _clean(docs, doc, text)
+    mine = windows(cleaned, stride, spark.sparkContext.broadcast(table))
+    met = cut_lineage(mine.select("key", F.col("k").alias("d")).join(theirs.select("key", F.col("k").alias("i")), "key").select("d", "i").distinct(), "p7-met")
+    pairs = met.join(cleaned.select(F.col("k").alias("d"), F.col("t").alias("dt")), "d").join(items.select(F.col("k").alias("i"), F.col("t").alias("it")), "i")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for d, i, dt, it in zip(pdf["d"], pdf["i"], pdf["dt"], pdf["it"]):
+                rows += [(d, i, longest, covered, len(it)) for _, _, longest, covered in match_texts([dt], ItemIndex([i], [it], emb), stride, max_edits)]
+            yield pd.DataFrame(rows, columns=columns)
+
+    return pairs.select("d", "i", "dt", "it").mapInPandas(verify, schema)
+
+
+def leaked(docs: DataFrame, items: DataFrame, min_run: int = 60, search: Search = PASSAGES) -> DataFrame:
+    """(doc_id, item_id): a common stretch of at least ``min_run`` letters or digits, which has to be
+    one that the search is certain to meet."""
+    if search.window + search.stride - 1 > min_run:
+        raise ValueError("windows and their stride are longer than the stretch to be found")
+    return leaks(docs, items, search=search).where(F.col("longest_run") >= min_run).select("doc_id", "item_id").distinct()
 
 
 def leak_report(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -282,7 +282,9 @@ def match_texts(texts: list[str], index: ItemIndex, stride: int, max_edits: int)
     inner = np.zeros(len(codes) + 1, bool)
     # inside a run of one letter every window meets what the first and the last window of it meet
     turns = np.append(0, np.cumsum(codes[1:] != codes[:-1]))
-    p = start[(start - stride >= base[owner]) & (start + w + stride <= base[owner + 1])]
+    p = np.arange(stride, max(stride, len(codes) - w - stride + 1))
+    text_of = np.searchsorted(base, p, "right") - 1
+    p = p[(p - stride >= base[text_of]) & (p + w + stride <= base[text_of + 1])]
     inner[p] = turns[p + w + stride - 1] == turns[p - stride]
     owner, start = owner[~inner[start]], start[~inner[start]]
     mine, theirs = index.candidates(index.emb.keys(codes, start))

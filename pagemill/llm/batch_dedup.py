@@ -1,17 +1,24 @@
 """Problem 4: every new batch against all that arrived before, at a cost that follows the batch.
 
-Method: graph index shards. The distinct codes of each history segment, and of each new batch,
-form a navigable small-world graph of their own; a shard's beam is widened until it finds what an
-exhaustive search of stated test queries finds. A batch searches the shards before
-it and its own; all visited codes are ranked by their exact distance. Every ``fanout`` batches the
-shards of single batches are compacted into one. Rows with a known sha256 or an equal code need no
-search: they are found by their key. Shards are rows of a table (codes, links, beam, recall), so
-a stored index serves any number of later batches without reading the history again.
+Method: graph index shards. The distinct codes of the history, and of each new batch, form
+navigable small-world graphs of at most some ``shard_codes`` codes each; a graph's beam is widened
+until it finds what an exhaustive search of stated test queries finds, and a graph for which no
+beam does is searched exhaustively. A batch searches the shards before it and its own; all visited
+codes are ranked by their exact distance. Every ``fanout`` batches the shards of single batches are
+compacted into one, every ``fanout`` of these into one again, and so on. Rows with a known sha256 or
+an equal code need no search: they are found by their key. Graphs are rows of a table (codes,
+links, beam, recall), so a stored index serves any number of later batches.
+
+A shard of few graphs is searched in all of them. A larger one is routed: its codes are put, once
+for each choice of ``ell`` of ``ell + radius`` blocks of bits, into the graph of the value of these
+blocks. Codes within the radius agree in one choice at least, so a query visits one graph a choice,
+a number that does not grow with the history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -19,15 +26,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import nsw
-from pagemill.llm.hamming import informative
+from pagemill.llm.hamming import BITS, _blocks, informative
 from pagemill.session import cut_lineage
 
-#: Codes a shard is meant to hold; with more than MAX_SEGMENTS shards of history they grow instead,
-#: so that a query visits a bounded number of graphs of logarithmic depth.
-SHARD_CODES = 65_536
-MAX_SEGMENTS = 64
-QUERY_BLOCK = 8_000
-INDEX = "shard string, low_batch int, high_batch int, size int, codes binary, links binary, ords binary, beam int, recall double"
+#: Codes that one graph holds, about.
+SHARD_CODES = 65_000
+#: Up to so many graphs of a shard all are searched; it is the number of choices with one block.
+ALL_PARTS = 7
+QUERY_BLOCK = 50_000
+INDEX = "shard string, key string, sub int, low_batch int, high_batch int, size int, codes binary, links binary, ords binary, beam int, recall double"
+Shard = tuple[str, int, int, int]
 
 
 def page_rows(assets: DataFrame) -> DataFrame:
@@ -40,73 +48,111 @@ def first_codes(rows: DataFrame) -> DataFrame:
     return rows.where("code is not null").groupBy("code").agg(F.min(F.struct("ord", "batch")).alias("f")).select("code", "f.ord", "f.batch")
 
 
-def shard_plan(sizes: dict[int, int], fanout: int, shard_codes: int) -> list[tuple[str, int, int, int]]:
+def lengths(last: int, fanout: int) -> list[int]:
+    """Batches in a compacted shard of each level, up to ``last``."""
+    out = [fanout] if fanout <= last else []
+    while out and fanout > 1 and out[-1] * fanout <= last:
+        out.append(out[-1] * fanout)
+    return out
+
+
+def shard_plan(sizes: dict[int, int], fanout: int, shard_codes: int) -> list[Shard]:
     """(name, low, high, parts) of every shard: history, single batches, compacted runs of batches.
 
-    Batch 0 is the history. Run k holds the batches k*fanout+1 to (k+1)*fanout and exists once all
-    of them have come. A shard over the wanted size has several parts."""
+    Batch 0 is the history. A run of a level exists once all of its batches have come. Parts are
+    the graphs it takes, if each code is in one."""
     parts = lambda n: max(1, -(-n // shard_codes))
     last = max(sizes, default=0)
-    out = [("h", 0, 0, min(MAX_SEGMENTS, parts(sizes.get(0, 0))))] if sizes.get(0) else []
+    out = [("h", 0, 0, parts(sizes.get(0, 0)))] if sizes.get(0) else []
     out += [(f"b{b}", b, b, parts(n)) for b, n in sorted(sizes.items()) if b > 0]
-    for k in range(last // fanout):
-        low, high = k * fanout + 1, (k + 1) * fanout
-        n = sum(sizes.get(b, 0) for b in range(low, high + 1))
-        if n:
-            out.append((f"c{low}-{high}", low, high, parts(n)))
-    return out
-
-
-def visits(plan: list[tuple[str, int, int, int]], batch: int, fanout: int) -> list[str]:
-    """The shards that stand for everything up to and with ``batch``: history, the compacted runs
-    before the batch's own run, and the single batches of that run up to itself."""
-    run = (batch - 1) // fanout
-    out = []
-    for name, low, high, _ in plan:
-        if name == "h" or (name[0] == "c" and high <= run * fanout) or (name[0] == "b" and run * fanout < low <= batch):
-            out.append(name)
+    for length in lengths(last, fanout):
+        for low in range(1, last - length + 2, length):
+            n = sum(sizes.get(b, 0) for b in range(low, low + length))
+            if n:
+                out.append((f"c{low}-{low + length - 1}", low, low + length - 1, parts(n)))
     return out
 
 
-def build_index(codes: DataFrame, plan: list[tuple[str, int, int, int]], radius: int = 6) -> DataFrame:
-    """The shard table of ``codes`` (code, ord, batch) under a plan. One task per shard part."""
+def visits(plan: list[Shard], batch: int, fanout: int) -> list[str]:
+    """The shards that stand for everything up to and with ``batch``: history, the longest compacted
+    runs of batches before it, then single batches up to itself."""
+    names = {n for n, *_ in plan}
+    out, at = ["h"], 1
+    while at <= batch:
+        whole = [n for n in lengths(batch - 1, fanout) if (at - 1) % n == 0 and at + n - 1 < batch]
+        out.append(f"c{at}-{at + whole[-1] - 1}" if whole else f"b{at}")
+        at += whole[-1] if whole else 1
+    return [n for n in out if n in names]
+
+
+def route(parts: int, radius: int) -> tuple[int, int]:
+    """(ell, bits) of a shard: blocks that make a key and the bits of it that are used; 0, 0 if all
+    graphs of the shard are searched."""
+    if parts <= ALL_PARTS:
+        return 0, 0
+    bits = (parts - 1).bit_length()
+    for ell in (1, 2, 3):
+        if bits <= ell * (BITS // (ell + radius)):
+            return ell, bits
+    return 3, 3 * (BITS // (3 + radius))
+
+
+def with_keys(df: DataFrame, routes: set[tuple[int, int]], radius: int) -> DataFrame:
+    """``df`` (with code, ell, bits) once for each key of its code under its own route."""
+    keys = F.array(F.lit("all"))
+    for ell, bits in sorted(routes):
+        if ell:
+            blocks = _blocks(F.col("code"), ell + radius)
+            each = []
+            for k, choice in enumerate(combinations(range(ell + radius), ell)):
+                value = F.lit(0).cast("bigint")
+                for i in choice:  # the low bits of every block, in turn
+                    value = F.shiftleft(value, -(-bits // ell)) + blocks[i].bitwiseAND(F.lit((1 << -(-bits // ell)) - 1))
+                each.append(F.concat(F.lit(f"{k}-"), value.cast("string")))
+            keys = F.when((F.col("ell") == ell) & (F.col("bits") == bits), F.array(*each)).otherwise(keys)
+    return df.withColumn("key", F.explode(keys)).drop("ell", "bits")
+
+
+def build_index(codes: DataFrame, plan: list[Shard], radius: int = 6, shard_codes: int = SHARD_CODES) -> DataFrame:
+    """The shard table of ``codes`` (code, ord, batch) under a plan, one task per graph. A key that
+    more codes have than a graph should hold gets several graphs."""
     spark = codes.sparkSession
-    of_batch = [(b, n, lo, hi, p) for n, lo, hi, p in plan for b in range(lo, hi + 1)]  # two rows per batch
-    where = F.broadcast(spark.createDataFrame(of_batch, "batch int, shard string, low int, high int, parts int"))
-    member = codes.join(where, "batch")
-    # parts of the history are segments of arrival, those of a batch are by hash
-    cuts = codes.where("batch = 0").agg(F.percentile_approx("ord", [i / 256 for i in range(1, 256)], 100_000).alias("c")).collect()[0]["c"] or []
-    h_parts = next((p for n, _, _, p in plan if n == "h"), 1)
-    bounds = [cuts[int(i * 256 / h_parts) - 1] for i in range(1, h_parts)] if cuts else []
-    segment = F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda c: c < F.col("ord"))) if bounds else F.lit(0)
-    part = F.when(F.col("shard") == "h", segment).otherwise(F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
-    member = member.select(F.concat_ws(".", "shard", part.cast("string")).alias("shard"), "low", "high", "code", "ord")
+    of_batch = [(b, n, lo, hi, *route(p, radius)) for n, lo, hi, p in plan for b in range(lo, hi + 1)]  # a row per batch and level
+    where = spark.createDataFrame(of_batch, "batch int, shard string, low int, high int, ell int, bits int")
+    member = with_keys(codes.join(where, "batch").select("shard", "low", "high", "code", "ord", "ell", "bits"), {route(p, radius) for *_, p in plan}, radius)
+    subs = member.groupBy("shard", "key").agg(F.ceil(F.count("*") / shard_codes).cast("int").alias("subs"))
+    member = member.join(subs, ["shard", "key"]).withColumn("sub", F.pmod(F.xxhash64("code"), F.col("subs")).cast("int")).drop("subs")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ord")
         g = nsw.build(pdf["code"].to_numpy(np.int64).view(np.uint64).copy())
         beam, recall = nsw.tune(g, radius)
         c, e = g.to_bytes()
-        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "low_batch": pdf["low"].iloc[:1], "high_batch": pdf["high"].iloc[:1], "size": len(pdf), "codes": [c], "links": [e], "ords": [pdf["ord"].to_numpy(np.int64).tobytes()], "beam": beam, "recall": recall})
+        first = {k: pdf[k].iloc[:1] for k in ("shard", "key", "sub")}
+        return pd.DataFrame({**first, "low_batch": pdf["low"].iloc[:1], "high_batch": pdf["high"].iloc[:1], "size": len(pdf), "codes": [c], "links": [e], "ords": [pdf["ord"].to_numpy(np.int64).tobytes()], "beam": beam, "recall": recall})
 
-    return member.groupBy("shard").applyInPandas(one, INDEX)
+    return member.groupBy("shard", "key", "sub").applyInPandas(one, INDEX)
 
 
-def search_index(index: DataFrame, queries: DataFrame, plan: list[tuple[str, int, int, int]], fanout: int, radius: int = 6) -> DataFrame:
+def search_index(index: DataFrame, queries: DataFrame, plan: list[Shard], fanout: int, radius: int = 6) -> DataFrame:
     """(ord, match_ord): for each query (code, ord, batch) that has one, the earliest row before it
     whose code is within the radius, as far as the graphs find it."""
-    batches = sorted({lo for n, lo, _, _ in plan if n[0] == "b"})
     parts = {n: p for n, _, _, p in plan}
-    return search_pairs(index, queries, [(b, f"{n}.{k}") for b in batches for n in visits(plan, b, fanout) for k in range(parts[n])], radius)
+    return search_pairs(index, queries, [(lo, n, parts[n]) for s, lo, _, _ in plan if s[0] == "b" for n in visits(plan, lo, fanout)], radius)
 
 
-def search_pairs(index: DataFrame, queries: DataFrame, pairs: list[tuple[int, str]], radius: int) -> DataFrame:
-    """``search_index`` with the (batch, shard part) pairs that are to meet."""
+def search_pairs(index: DataFrame, queries: DataFrame, pairs: list[tuple[int, str, int]], radius: int) -> DataFrame:
+    """``search_index`` with the (batch, shard, parts) that are to meet. A graph goes to as many tasks
+    as there are blocks of QUERY_BLOCK queries that visit it."""
     spark = queries.sparkSession
-    to = F.broadcast(spark.createDataFrame(pairs or [(-1, "")], "batch int, shard string"))
-    n_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    q = queries.join(to, "batch").select("code", "ord", "shard", F.pmod(F.xxhash64("code", F.lit(1)), F.lit(n_blocks)).cast("int").alias("block"))
-    ix = index.select("shard", "codes", "links", "ords", "beam", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
+    to = spark.createDataFrame([(b, n, *route(p, radius)) for b, n, p in pairs], "batch int, shard string, ell int, bits int")
+    graphs = index.select("shard", "key", "sub")
+    q = with_keys(queries.join(to, "batch").select("code", "ord", "shard", "ell", "bits"), {route(p, radius) for *_, p in pairs}, radius)
+    q = cut_lineage(q.join(graphs, ["shard", "key"]), "p4-visits")
+    graph = ["shard", "key", "sub"]
+    blocks = q.groupBy(graph).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    q = q.join(blocks, graph).withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.col("blocks")).cast("int")).drop("blocks")
+    ix = index.join(blocks, graph).select(*graph, "codes", "links", "ords", "beam", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def one(qs: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"ord": np.zeros(0, np.int64), "match_ord": np.zeros(0, np.int64)})
@@ -122,7 +168,7 @@ def search_pairs(index: DataFrame, queries: DataFrame, pairs: list[tuple[int, st
             return empty
         return pd.DataFrame({"ord": mine[r[ok]], "match_ord": ords[p[ok]]}).groupby("ord", as_index=False)["match_ord"].min()
 
-    found = q.groupBy("shard", "block").cogroup(ix.groupBy("shard", "block")).applyInPandas(one, "ord long, match_ord long")
+    found = q.groupBy(*graph, "block").cogroup(ix.groupBy(*graph, "block")).applyInPandas(one, "ord long, match_ord long")
     return found.groupBy("ord").agg(F.min("match_ord").alias("match_ord"))
 
 
@@ -146,7 +192,7 @@ def repeats(assets: DataFrame, radius: int = 6, fanout: int = 5, shard_codes: in
         "p4-new",
     )
     open_ = new.where("code is not null and sha_ord is null and code_ord is null").select("code", "ord", "batch")
-    index = cut_lineage(build_index(codes, plan, radius), "p4-index")
+    index = cut_lineage(build_index(codes, plan, radius, shard_codes), "p4-index")
     near = search_index(index, open_, plan, fanout, radius)
     kind = F.when(F.col("sha_ord").isNotNull(), "sha256").when(F.col("code_ord").isNotNull(), "phash").when(F.col("match_ord").isNotNull(), "near").otherwise("new")
     return new.join(near, "ord", "left").select("ord", "batch", F.coalesce("sha_ord", "code_ord", "match_ord").alias("match_ord"), kind.alias("kind"))
@@ -158,10 +204,10 @@ def repeated(assets: DataFrame) -> DataFrame:
 
 
 def index_report(assets: DataFrame, radius: int = 6, fanout: int = 5, shard_codes: int = SHARD_CODES) -> DataFrame:
-    """Per shard: batches, size, beam and its recall against exhaustive search."""
+    """Per graph: shard, batches, size, beam (0: exhaustive) and its recall against exhaustive search."""
     codes = cut_lineage(first_codes(page_rows(assets)), "p4-codes")
     sizes = {r["batch"]: r["n"] for r in codes.groupBy("batch").agg(F.count("*").alias("n")).collect()}
-    return build_index(codes, shard_plan(sizes, fanout, shard_codes), radius).select("shard", "low_batch", "high_batch", "size", "beam", "recall")
+    return build_index(codes, shard_plan(sizes, fanout, shard_codes), radius, shard_codes).select("shard", "key", "sub", "low_batch", "high_batch", "size", "beam", "recall")
 
 
 class StoredIndex:
@@ -220,7 +266,7 @@ class StoredIndex:
         if n:
             one = (shard, low, high, max(1, -(-n // self.shard_codes)))
             name = "_".join(map(str, one))
-            build_index(codes, [one], self.radius).write.mode("overwrite").parquet(f"{self.path}/building/{name}")
+            build_index(codes, [one], self.radius, self.shard_codes).write.mode("overwrite").parquet(f"{self.path}/building/{name}")
             for s in self.plan():
                 if s[0] == shard:  # of an earlier delivery of the batch
                     self._drop(f"shards/{'_'.join(map(str, s))}")
@@ -231,25 +277,28 @@ class StoredIndex:
         Batch 0 is the history: it is indexed, and all of it comes out as ``history``."""
         rows = cut_lineage(page_rows(assets).withColumn("batch", F.lit(batch)), "p4-batch")
         old = self._keys(batch)
-        old_codes = old.where("code is not null").groupBy("code").agg(F.min("ord").alias("o"))
         own = first_codes(rows)
+        # only keys that the batch has are kept of the history before anything is grouped
+        old_codes = old.select("code", "ord").join(own.select("code"), "code", "left_semi")
         fresh = cut_lineage(own.join(old_codes, "code", "left_anti"), "p4-fresh")  # codes that no graph holds yet
         self._add(fresh, "h" if batch == 0 else f"b{batch}", batch, batch)
         # after the graph: codes under the keys of a batch are taken to be in one
         rows.select("sha", "code", "ord").write.mode("overwrite").parquet(f"{self.path}/keys/batch={batch}")
         if batch == 0:
             return rows.select("ord", "batch", F.lit(None).cast("bigint").alias("match_ord"), F.lit("history").alias("kind"))
-        shas = old.where("sha is not null").select("sha", "ord").unionByName(rows.where("sha is not null").select("sha", "ord")).join(rows.select("sha").distinct(), "sha", "left_semi").groupBy("sha").agg(F.min("ord").alias("sha_ord"))
-        codes = old_codes.select("code", F.col("o").alias("code_ord")).unionByName(own.select("code", F.col("ord").alias("code_ord"))).join(own.select("code"), "code", "left_semi").groupBy("code").agg(F.min("code_ord").alias("code_ord"))
+        named = rows.where("sha is not null").select("sha", "ord")
+        shas = old.select("sha", "ord").join(named.select("sha").distinct(), "sha", "left_semi").unionByName(named).groupBy("sha").agg(F.min("ord").alias("sha_ord"))
+        codes = old_codes.unionByName(own.select("code", "ord")).groupBy("code").agg(F.min("ord").alias("code_ord"))
         before = lambda c: F.when(F.col(c) < F.col("ord"), F.col(c)).alias(c)
         new = cut_lineage(rows.join(shas, "sha", "left").join(codes, "code", "left").select("ord", "batch", "code", before("sha_ord"), before("code_ord")), "p4-new")
         near = self._search(new.where("code is not null and sha_ord is null and code_ord is null").select("code", "ord", "batch"), batch)
         kind = F.when(F.col("sha_ord").isNotNull(), "sha256").when(F.col("code_ord").isNotNull(), "phash").when(F.col("match_ord").isNotNull(), "near").otherwise("new")
         out = cut_lineage(new.join(near, "ord", "left").select("ord", "batch", F.coalesce("sha_ord", "code_ord", "match_ord").alias("match_ord"), kind.alias("kind")), "p4-out")
         newest = max(int(n.split("=")[1]) for n in self._list("keys"))
-        for run in sorted({(s[1] - 1) // self.fanout for s in self.plan() if s[0][0] != "h"}):
-            if (run + 1) * self.fanout <= newest:
-                self.compact(run * self.fanout + 1, (run + 1) * self.fanout)
+        for length in lengths(newest, self.fanout):
+            for run in sorted({(s[1] - 1) // length for s in self.plan() if s[0][0] != "h" and s[2] <= (s[1] - 1) // length * length + length}):
+                if (run + 1) * length <= newest:
+                    self.compact(run * length + 1, (run + 1) * length)
         return out
 
     def _search(self, queries: DataFrame, batch: int) -> DataFrame:
@@ -258,7 +307,7 @@ class StoredIndex:
         if not held:
             return self.spark.createDataFrame([], "ord long, match_ord long")
         index = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in held])
-        return search_pairs(index, queries, [(batch, f"{name}.{k}") for name, _, _, parts in held for k in range(parts)], self.radius)
+        return search_pairs(index, queries, [(batch, name, parts) for name, _, _, parts in held], self.radius)
 
     def compact(self, low: int, high: int) -> None:
         """One shard for a run of batches, from the codes that their graphs hold: those of single
@@ -275,7 +324,7 @@ class StoredIndex:
                 for c, o, b in zip(pdf["codes"], pdf["ords"], pdf["low_batch"]):
                     yield pd.DataFrame({"code": np.frombuffer(c, np.int64), "ord": np.frombuffer(o, np.int64), "batch": b})
 
-        stored = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in held])
+        stored = self.spark.read.schema(INDEX).parquet(*[self._folder(s) for s in held])  # a routed shard holds a code several times
         codes = first_codes(stored.select("codes", "ords", "low_batch").mapInPandas(unpack, "code bigint, ord bigint, batch int"))
         self._add(cut_lineage(codes, "p4-compact"), name, low, high)
         for s in held:

@@ -28,12 +28,16 @@ class Graph:
     beam: int = 32
 
     def to_bytes(self) -> tuple[bytes, bytes]:
-        return self.codes.tobytes(), self.links.tobytes()
+        """Codes and links, the latter in 16 bits where that is enough (0xFFFF where free)."""
+        return self.codes.tobytes(), (self.links.astype(np.uint16) if len(self.codes) < 0xFFFF else self.links).tobytes()
 
     @staticmethod
     def from_bytes(codes: bytes, links: bytes, beam: int) -> Graph:
         c = np.frombuffer(codes, np.uint64)
-        return Graph(c, np.frombuffer(links, np.int32).reshape(len(c), LINKS + REVERSE), beam)
+        if len(c) >= 0xFFFF:
+            return Graph(c, np.frombuffer(links, np.int32).reshape(len(c), LINKS + REVERSE), beam)
+        small = np.frombuffer(links, np.uint16).reshape(len(c), LINKS + REVERSE)
+        return Graph(c, np.where(small == 0xFFFF, -1, small.astype(np.int32)), beam)
 
 
 def search(codes: np.ndarray, links: np.ndarray, n: int, queries: np.ndarray, beam: int, entries: np.ndarray, radius: int = -1) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -84,10 +88,6 @@ def search(codes: np.ndarray, links: np.ndarray, n: int, queries: np.ndarray, be
         flat_row, flat = flat_row[fresh], flat[fresh]
         if not len(flat):
             continue
-        # a point may be linked from several expanded ones: keep the first
-        key = flat_row.astype(np.int64) * n + flat
-        _, once = np.unique(key, return_index=True)
-        flat_row, flat = flat_row[once], flat[once]
         seen[live[flat_row], flat] = True
         fd = np.bitwise_count(queries[live[flat_row]] ^ codes[flat]).astype(np.int16)
         if radius >= 0:
@@ -98,6 +98,9 @@ def search(codes: np.ndarray, links: np.ndarray, n: int, queries: np.ndarray, be
         flat_row, flat, fd = flat_row[good], flat[good], fd[good]
         if not len(flat):
             continue
+        # a point may be linked from several expanded ones: one of them is kept, of the few that are near
+        _, once = np.unique(flat_row.astype(np.int64) * n + flat, return_index=True)
+        flat_row, flat, fd = flat_row[once], flat[once], fd[once]
         count = np.bincount(flat_row, minlength=len(live))
         most = int(count.max())
         at = np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count)
@@ -173,34 +176,48 @@ def probes(codes: np.ndarray, radius: int, count: int, seed: int = 5) -> np.ndar
     return out
 
 
-def tune(g: Graph, radius: int, target: float = 0.998, count: int = 2048, most: int = 2048) -> tuple[int, float]:
+def tune(g: Graph, radius: int, target: float = 0.998, count: int = 2048, most: int = 512) -> tuple[int, float]:
     """The smallest beam (32, 48, 56 and so on) whose recall of the points within ``radius`` of
-    the test queries, found by exhaustive search, reaches the target; and that recall."""
+    the test queries, found by exhaustive search, reaches the target; and that recall. Where no beam
+    up to ``most`` does, the beam is 0, which stands for exhaustive search of the graph's codes."""
     if not len(g.codes):
         return 32, 1.0
     q = probes(g.codes, radius, count)
-    truth = set()
-    for a in range(0, count, 64):
-        i, j = np.nonzero(np.bitwise_count(q[a : a + 64, None] ^ g.codes[None, :]) <= radius)
-        truth |= set(zip((i + a).tolist(), j.tolist()))
+    truth = set(zip(*(x.tolist() for x in exhaustive(g.codes, q, radius))))
     beam = 32
-    while True:
+    while beam <= most:
         beam = min(beam, len(g.codes))
         i, j = neighbours(g, q, radius, beam)
         recall = len(truth & set(zip(i.tolist(), j.tolist()))) / max(1, len(truth))
-        if recall >= target or beam >= min(most, len(g.codes)):
+        if recall >= target:
             return beam, recall
+        if beam == len(g.codes):
+            break
         beam += max(8, (beam & -beam) // 2)
+    return 0, 1.0
+
+
+def exhaustive(codes: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All (query, point) pairs within the radius."""
+    rows, points = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step = max(1, 4_000_000 // max(1, len(codes)))
+    for a in range(0, len(queries), step):
+        i, j = np.nonzero(np.bitwise_count(queries[a : a + step, None] ^ codes[None, :]) <= radius)
+        rows.append(i + a)
+        points.append(j)
+    return np.concatenate(rows), np.concatenate(points)
 
 
 def neighbours(g: Graph, queries: np.ndarray, radius: int, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(query, point) pairs within the radius that the search visits, exactly measured."""
-    n = len(g.codes)
+    n, beam = len(g.codes), g.beam if beam is None else beam
+    if not beam:
+        return exhaustive(g.codes, queries, radius)
     rows, points = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if n:
         step = max(16, min(2048, 48_000_000 // n))  # visited points and entry distances stay below 100 MB
         for a in range(0, len(queries), step):
-            _, _, near = search(g.codes, g.links, n, queries[a : a + step], min(n, beam or g.beam), entry_points(n), radius)
+            _, _, near = search(g.codes, g.links, n, queries[a : a + step], min(n, beam), entry_points(n), radius)
             for r, p in near:
                 rows.append(r + a)
                 points.append(np.asarray(p, dtype=np.int64))

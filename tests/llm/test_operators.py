@@ -34,6 +34,10 @@ NULLS = dict.fromkeys(("asset_id", "source_id", "image_path", "sha256", "phash",
 # the Hamming join and the graphs
 
 
+def signed(code):
+    return code - (1 << 64) if code >> 63 else code
+
+
 def flip(code, n, rng):
     for b in rng.sample(range(64), n):
         code ^= 1 << b
@@ -239,6 +243,16 @@ def test_repeats(spark):
     assert batch_dedup.repeats(a.where("batch_id = 0")).count() == 0
 
 
+@pytest.mark.parametrize("parts", [8, 600, 70_000])
+def test_routed_codes_meet_in_a_graph(spark, parts):
+    ell, bits = batch_dedup.route(parts, 6)
+    rng = random.Random(parts)
+    rows = [(k, c, ell, bits) for k in range(60) for base in [rng.getrandbits(64)] for c in (signed(base), signed(flip(base, 6, rng)))]
+    got = batch_dedup.with_keys(spark.createDataFrame(rows, "k int, code long, ell int, bits int"), {(ell, bits)}, 6)
+    met = got.groupBy("k", "key").agg(F.count("*").alias("n")).groupBy("k").agg(F.max("n").alias("n"))
+    assert [r["n"] for r in met.collect()] == [2] * 60
+
+
 def test_shards_cover_everything_before_a_batch():
     sizes = {0: 100, **{b: 10 for b in range(1, 24)}}
     for fanout in (1, 3, 5):
@@ -269,7 +283,7 @@ def test_stored_index_gives_the_same_batch_by_batch(spark, tmp_path):
             assert all(got[k] == v for k, v in again.items())  # a repeated delivery of the batch itself
     assert got == want
     names = [s[0] for s in index.plan()]
-    assert "h" in names and "c1-3" in names and "c10-12" in names and not any(n.startswith("b") for n in names)
+    assert "h" in names and "c1-9" in names and "c10-12" in names and not any(n.startswith("b") for n in names)
 
 
 @pytest.mark.parametrize("case", ["closing batch again", "failure amid the drops", "gap", "late batch"])

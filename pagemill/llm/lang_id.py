@@ -8,8 +8,7 @@ over a window; runs of one best language are the stretches. Confidences are soft
 temperature fitted on held-out rows; a stretch under the calibrated threshold is not accepted.
 
 Training rows are a bounded sample (``sample_rows``, by hash of the key) of the labelled rows, with
-a least number of each label; scoring covers every row and every letter. A language that has a
-script but no labelled row at all is unknown to the model; ``languages`` names it by its script.
+a least number of each label; scoring covers every row and every letter.
 """
 
 from __future__ import annotations
@@ -67,12 +66,17 @@ def clean_label(c: Column) -> Column:
     return F.get(F.transform(F.array(F.lower(strip(c))), one), F.lit(0))
 
 
-def flatten(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The code points of all texts, each followed by a line feed, and the row of each."""
-    joined = "".join(t.replace("\n", " ") + "\n" for t in texts)
-    cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    ends = cps == 10
-    return cps, np.cumsum(ends) - ends
+#: Line feeds around every text: no subword reaches farther, so none reaches into another text.
+GAP = 3
+
+
+def flatten(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of all texts, with gaps before, between and after them; the row of each; and
+    where each text begins."""
+    cps = np.frombuffer(("\n" * GAP + "".join(t + "\n" * GAP for t in texts)).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    size = np.array([len(t) + GAP for t in texts], dtype=np.int64)
+    begin = GAP + np.cumsum(size) - size
+    return cps, np.concatenate([np.zeros(GAP, np.int64), np.repeat(np.arange(len(texts)), size)]), begin
 
 
 def features(cps: np.ndarray, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +131,7 @@ class LangModel:
     def segments(self, texts: list[str]) -> dict[str, np.ndarray]:
         """All stretches of all texts: row, start and end in code points, label index, confidence,
         letters. A stretch runs from its first letter to the next one's first letter or the end."""
-        cps, row_of = flatten(texts)
+        cps, row_of, begin = flatten(texts)
         scores, pos = self.letter_scores(cps)
         none = {k: np.zeros(0, np.int64) for k in ("row", "start", "end", "label", "letters")} | {"confidence": np.zeros(0, np.float32), "accepted": np.zeros(0, bool)}
         if not len(pos):
@@ -158,8 +162,7 @@ class LangModel:
         mean = np.add.reduceat(scores, starts, axis=0) / letters[:, None]
         conf = self.confidence(mean)[np.arange(len(starts)), label[starts]]
         row = rows[starts]
-        base = np.concatenate([[0], np.nonzero(cps == 10)[0] + 1])
-        start = pos[starts] - base[row]
+        start = pos[starts] - begin[row]
         ends_row = np.append(row[1:] != row[:-1], True)
         length = np.array([len(t) for t in texts], dtype=np.int64)
         end = np.where(ends_row, length[row], np.append(start[1:], 0))
@@ -182,7 +185,7 @@ def train(texts: list[str], labels: list[str], orders: tuple[int, ...] = (2, 3),
     order = rng.permutation(len(texts))
     texts = [texts[i] for i in order]
     y = np.array([names.index(labels[i]) for i in order])
-    cps, row_of = flatten(texts)
+    cps, row_of, _ = flatten(texts)
     f, pos = features(cps, orders, bits)
     rows = row_of[pos]
     bound = np.searchsorted(rows, np.arange(len(texts) + 1), "left")
@@ -304,40 +307,58 @@ def identify(df: DataFrame, model: LangModel, key: str, text: str, enough: int =
 
 
 def languages(df: DataFrame, model: LangModel, key: str, text: str, carry: str) -> DataFrame:
-    """(key, carry, lang, letters, script_letters, most): a row per language the model finds in a text,
-    and per language whose script is in it and that the model has no label for (its letters are 0).
-
-    ``carry`` is the column of that name, as it is, for a later comparison. letters counts the model's letters of the language, script_letters those of its script, most
-    the largest script_letters of the text. Vectorised over whole Arrow batches."""
+    """(key, carry, lang, accepted, letters, confidence, script_letters, most): the languages of a text.
+
+    A stretch that the model accepts names its language; of a stretch that it rejects, being less
+    sure of it than the calibrated threshold, every letter names the language of its own script
+    (which is also how a language without any labelled row comes in). ``carry`` is the column of
+    that name, as it is, for a later comparison. accepted counts the letters of accepted stretches,
+    letters those of all the language has been named by, confidence is their mean for the accepted
+    ones; script_letters counts the letters of its script, most is the largest script_letters of the
+    text. Vectorised over whole Arrow batches."""
     b = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, scripts, names = b.value, script_table(), list(SCRIPT_RANGES)
         labels = [*m.labels, *[x for x in names if x not in m.labels]]
         to_script = np.array([names.index(x) if x in names else -1 for x in labels])
+        of_script = np.array([labels.index(x) for x in names])
         for pdf in batches:
             texts = [canonical(t) if t is not None else "" for t in pdf["t"]]
             s = m.segments(texts)
             n, c = len(texts), len(labels)
-            found = np.bincount(s["row"] * c + s["label"], weights=s["letters"], minlength=n * c).reshape(n, c).astype(np.int64)
-            cps, row_of = flatten(texts)
+            cell, ok = s["row"] * c + s["label"], s["accepted"]
+            count = lambda at, w: np.bincount(at, weights=w, minlength=n * c).reshape(n, c)
+            accepted = count(cell[ok], s["letters"][ok])
+            sure = count(cell[ok], s["letters"][ok] * s["confidence"][ok].astype(float))
+            cps, row_of, begin = flatten(texts)
             k = scripts[cps]
             own = np.bincount(row_of[k > 0] * len(names) + k[k > 0] - 1, minlength=n * len(names)).reshape(n, len(names))
-            named = found > 0
-            named[:, len(m.labels) :] = own[:, to_script[len(m.labels) :]] > 0
+            named = accepted.copy()
+            if not ok.all():  # letters of rejected stretches, by script
+                change = np.zeros(len(cps) + 1, np.int64)
+                np.add.at(change, begin[s["row"][~ok]] + s["start"][~ok], 1)
+                np.add.at(change, begin[s["row"][~ok]] + s["end"][~ok], -1)
+                open_ = (np.cumsum(change)[:-1] > 0) & (k > 0)
+                named += count(row_of[open_] * c + of_script[k[open_] - 1], None)
             r, lab = np.nonzero(named)
             at = to_script[lab]
-            yield pd.DataFrame({"k": pdf["k"].to_numpy()[r], "carry": pdf["carry"].to_numpy()[r], "lang": np.array(labels, dtype=object)[lab], "letters": found[r, lab], "script_letters": np.where(at >= 0, own[r, at], 0), "most": own.max(axis=1)[r]})
+            yield pd.DataFrame({
+                "k": pdf["k"].to_numpy()[r], "carry": pdf["carry"].to_numpy()[r], "lang": np.array(labels, dtype=object)[lab], "accepted": accepted[r, lab].astype(np.int64), "letters": named[r, lab].astype(np.int64),
+                "confidence": sure[r, lab] / np.maximum(1, accepted[r, lab]), "script_letters": np.where(at >= 0, own[r, at], 0), "most": own.max(axis=1)[r],
+            })
 
     kind = df.schema[key].dataType.simpleString()
-    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(carry).alias("carry"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, carry string, lang string, letters long, script_letters long, most long").withColumnRenamed("k", key)
+    schema = f"k {kind}, carry string, lang string, accepted long, letters long, confidence double, script_letters long, most long"
+    return df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(carry).alias("carry"), F.col(text).alias("t")).mapInPandas(run, schema).withColumnRenamed("k", key)
 
 
 def wrong_labels(df: DataFrame, model: LangModel, key: str = "ord", text: str = "transcript", label: str = "lang", enough: int = 4) -> DataFrame:
     """(key, lang): the languages of each text whose label is missing or not the right one.
 
-    The model names the languages of a text; the exact check keeps one with at least ``enough``
-    letters of its script or, if none has, the one with most (all of them at a tie). The right
+    The stretches of a text name its languages (see ``languages``); the exact check after it keeps
+    one with at least ``enough`` letters of its script or, if none has, the one with most (all of
+    them at a tie): what a language is in a text for is defined by a count of letters. The right
     label is that language, or ``mixed`` for several. Texts that are null or without letters give
     no rows. The key must be unique; it is the only thing that is grouped by.
     """
@@ -349,5 +370,12 @@ def wrong_labels(df: DataFrame, model: LangModel, key: str = "ord", text: str =
     return per.where(said.isNull() | (said != right)).select(F.col(key), F.explode("langs").alias("lang"))
 
 
+def decisions(df: DataFrame, model: LangModel, key: str = "ord", text: str = "transcript", label: str = "lang") -> DataFrame:
+    """Per language: texts in which accepted stretches name it, those in which only letters of rejected
+    ones do, and the mean confidence of the former."""
+    sure = F.col("accepted") > 0
+    return languages(df, model, key, text, label).groupBy("lang").agg(F.count_if(sure).alias("accepted_texts"), F.count_if(~sure).alias("rejected_texts"), F.avg(F.when(sure, F.col("confidence"))).alias("confidence"))
+
+
 def report(model: LangModel) -> str:
     return f"labels {model.labels}, held-out agreement {model.accuracy:.4f}, temperature {model.temperature}, threshold {model.threshold:.3f}, table {sys.getsizeof(model.table)} bytes"

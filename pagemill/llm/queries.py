@@ -47,6 +47,11 @@ def p3_documents(spark: SparkSession, d: str) -> DataFrame:
     return lang_id.identify(docs, lang_id.fit(docs, "doc_id", "text", **lang_id.DOCUMENTS), "doc_id", "text", enough=20)
 
 
+def p3_decisions(spark: SparkSession, d: str) -> DataFrame:
+    preds = table(spark, d, "teacher_predictions")
+    return lang_id.decisions(preds, lang_id.fit(preds, "ord"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return batch_dedup.repeated(table(spark, d, "page_assets"))
 
@@ -122,7 +127,7 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return truncation.rates(table(spark, d, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p6_pages, p6_series, p6_targets, p7_found, p7_report, p8_mixture, p8_shares, p8_targets, p9_found, p9_rates)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_canonical, p3_found, p3_languages, p3_documents, p3_decisions, p4_found, p4_repeats, p4_index, p5_found, p5_survivors, p6_found, p6_assignment, p6_shares, p6_pages, p6_series, p6_targets, p7_found, p7_report, p8_mixture, p8_shares, p8_targets, p9_found, p9_rates)}
 
 _CODE = "CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{16}') AND lower(trim(phash)) NOT IN ('0000000000000000', 'ffffffffffffffff') THEN ('0x' || lower(trim(phash)))::UBIGINT END"
 _SAME = "(a.sha = b.sha OR bit_count(xor(a.code, b.code)) <= 6)"

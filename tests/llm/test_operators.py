@@ -210,6 +210,14 @@ def test_wrong_labels(spark, model):
     assert lang_id.wrong_labels(df.limit(0), model).count() == 0
 
 
+def test_features_do_not_reach_into_other_texts():
+    alone = lang_id.features(lang_id.flatten(["the old mirror"])[0], (2, 3, 4, 5, 6), 16)[0]
+    for others in (["x", "ß鏡"], ["", "zz"]):
+        cps, row_of, _ = lang_id.flatten([others[0], "the old mirror", others[1]])
+        f, pos = lang_id.features(cps, (2, 3, 4, 5, 6), 16)
+        assert np.array_equal(f[row_of[pos] == 1], alone)
+
+
 def test_training_on_few_rows(spark):
     none = lang_id.fit(spark.createDataFrame([(1, "x", None), (2, None, "ja")], TEXTS), "ord")
     assert none.labels == ["und"]

@@ -29,13 +29,12 @@ BITS = 18
 WORD_BITS = 18
 _END = ".!?。！？．｡"
 _CLOSE = "\"'”’»」』）)]】〉》*_"
-_ENDED = re.compile(rf"[{re.escape(_END)}][{re.escape(_CLOSE)}]*$")
 _SENTENCE = re.compile(rf"[{re.escape(_END)}][{re.escape(_CLOSE)}]*(?:\s+|(?<=[。！？｡])|(?<=[」』]))")
-_ELLIPSIS = re.compile(r"(?:…|\.{2,}|‥|⋯)[\s]*$")
-_FACE = re.compile(r"\s(?:\^[_.]?\^|[:;=]-?[)(DPp]|<3|[xX]D|[♪♥★☆]+|w{2,}|ㅋ+|ㅎ+)$")
+_DOTS = "…‥⋯"
+_FACE = re.compile(r"\^[_.]?\^|[:;=]-?[)(DPp]|<3|[xX]D|[♪♥★☆]+|w{2,}|ㅋ+|ㅎ+")
 _REMARK = re.compile(r"\s[(\[（【][^()\[\]（）【】\n]{1,24}[)\]）】]$")
-_SIGNED = re.compile(r"\n\s*(?:[-–—~]\s*\S{1,30}(?:\s\S{1,30})?|[A-Z]{2,4}\s?[/:]\s?\S{1,30})$")
-_MARKUP = re.compile(r"(?:<[a-zA-Z/!][^<>\n]*|<|&#?[a-zA-Z0-9]{0,8})$")
+_SIGNED = re.compile(r"[-–—~]\s*\S{1,30}(?:\s\S{1,30})?|[A-Z]{2,4}\s?[/:]\s?\S{1,30}")
+_ENTITY = re.compile(r"&#?[a-zA-Z0-9]{0,8}$")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 _SPEAKER = re.compile(r"^\s*\S{1,30}(?: \S{1,30})?[:：]\s")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
@@ -52,22 +51,45 @@ def word_bucket(w: str) -> int:
     return _hash("w", w) & ((1 << WORD_BITS) - 1)
 
 
+def end_of(t: str) -> int:
+    """Where the full stop that ends a text stands, whatever number of closing marks follows; -1 if
+    none does."""
+    at = len(t.rstrip(_CLOSE)) - 1
+    return at if at >= 0 and t[at] in _END else -1
+
+
+def without_dots(t: str) -> str:
+    """The text without an ellipsis at its end; the same if there is none."""
+    bare = t.rstrip()
+    if bare[-1:] in _DOTS and bare:
+        return bare[:-1].rstrip()
+    return bare.rstrip(".").rstrip() if bare.endswith("..") else t
+
+
 def peel(text: str) -> tuple[str, bool]:
     """The text without what was added after its last sentence, and whether an ellipsis was."""
     t, dots = text.rstrip(), False
     t = t.rstrip("​‌‍⁠﻿­").rstrip()
     while True:
-        for p in (_SIGNED, _FACE, _REMARK):
-            m = p.search(t[-80:])
-            if m and m.start() + max(0, len(t) - 80) > 0:
-                t = t[: max(0, len(t) - 80) + m.start()].rstrip()
-                break
+        line = t.rfind("\n")
+        word = max(line, *(t.rfind(c) for c in " \t\u3000\u00a0"))
+        if line > 0 and _SIGNED.fullmatch(t[line + 1 :].lstrip()):
+            t = t[:line].rstrip()
+        elif word > 0 and _FACE.fullmatch(t[word + 1 :]):
+            t = t[:word].rstrip()
+        elif (m := _REMARK.search(t, max(0, len(t) - 27))) and m.start() > 0:  # a remark has 27 characters at most
+            t = t[: m.start()].rstrip()
+        elif (less := without_dots(t)) != t:
+            t, dots = less, True
         else:
-            m = _ELLIPSIS.search(t[-20:])
-            if not m:
-                break
-            t, dots = t[: max(0, len(t) - 20) + m.start()].rstrip(), True
-    return t, dots
+            return t, dots
+
+
+def markup_open(t: str) -> bool:
+    """Whether a text ends inside a tag or a character reference."""
+    tail = t[max(0, t.rfind("<")) :]
+    tag = tail[:1] == "<" and ">" not in tail and "\n" not in tail and (len(tail) == 1 or tail[1] in "/!" or (tail[1].isascii() and tail[1].isalpha()))
+    return tag or bool(_ENTITY.search(t, max(0, len(t) - 10)))
 
 
 def quotation_open(t: str) -> bool:
@@ -87,15 +109,14 @@ def quotation_open(t: str) -> bool:
 
 def last_sentence(t: str) -> tuple[str, bool]:
     """The last sentence of a peeled text, as far as it goes, and whether it is ended."""
-    m = _ENDED.search(t, max(0, len(t) - 12))
-    ended = bool(m)
-    body = t[: m.start()] if m else t
+    stop = end_of(t)
+    body = t[:stop] if stop >= 0 else t
     at = 0
     for m in _SENTENCE.finditer(body):
         at = m.end()
     s = body[at:]
     m = _SPEAKER.match(s)
-    return (s[m.end() :] if m else s), ended
+    return (s[m.end() :] if m else s), stop >= 0
 
 
 class Statistics:
@@ -125,7 +146,7 @@ class Statistics:
 def count_words(texts: Iterator[str], inside: np.ndarray, final: np.ndarray) -> None:
     """Add the words of whole texts; the last word of the last open sentence counts nowhere."""
     for t in texts:
-        ends = [m.start() for m in _SENTENCE.finditer(t)] + ([len(t)] if _ENDED.search(t[-12:]) and not _ELLIPSIS.search(t[-12:]) else [])
+        ends = [m.start() for m in _SENTENCE.finditer(t)] + ([len(t)] if end_of(t.rstrip()) >= 0 and without_dots(t) == t else [])
         found = [*_WORD.finditer(t)]
         if not found:
             continue
@@ -145,13 +166,13 @@ def hashed(text: str, source: str | None, st: Statistics) -> list[int]:
     s, ended = last_sentence(core)
     words = [w.lower() for w in _WORD.findall(s)]
     raw = _WORD.findall(s)
-    script = "j" if _CJK.search(s[-40:]) else "k" if _KO.search(s[-40:]) else "l"
+    script = "j" if _CJK.search(s) else "k" if _KO.search(s) else "l"
     state = "e" if ended else "o"
     space = (state, script)
     out = [_hash(*space, "bias"), _hash(*space, "dots", dots)]
     add = lambda *p: out.append(_hash(*space, *p))
     end = core[-1:]
-    markup = bool(_MARKUP.search(core[-60:]))
+    markup = markup_open(core)
     add("markup", markup)
     add("broken", "�" in core[-4:])
     add("opens", quotation_open(core))
@@ -193,7 +214,7 @@ def cut(text: str, rng: np.random.Generator) -> str | None:
         return None
     at = int(rng.integers(max(6, len(core) - 300), len(core) - 1))
     t = core[:at].rstrip()
-    if not t or _ENDED.search(t[-6:]) or t[-1] in ":：" or len(t) < 4:
+    if not t or end_of(t) >= 0 or t[-1] in ":：" or len(t) < 4:
         return None
     x = rng.random()
     if x < 0.40:
@@ -218,10 +239,10 @@ def cut_at(text: str, unit: str, limit: int, rng: np.random.Generator) -> str |
 def soften(text: str, rng: np.random.Generator) -> str | None:
     """An intact text with another ending: no full stop, or an ellipsis for it."""
     core, _ = peel(text)
-    m = _ENDED.search(core[-12:])
-    if not m:
+    stop = end_of(core)
+    if stop < 0:
         return None
-    t = core[: max(0, len(core) - 12) + m.start()]
+    t = core[:stop]
     if not t or not t[-1].isalnum():
         return None
     return t if rng.random() < 0.6 else t + ("…" if rng.random() < 0.7 else "...")
@@ -230,6 +251,8 @@ def soften(text: str, rng: np.random.Generator) -> str | None:
 class CutModel:
     def __init__(self, weights: np.ndarray, threshold: float, held_out: dict[str, float]):
         self.weights, self.threshold, self.held_out = weights, threshold, held_out
+        #: per source: share of held-out cuts that are found, of held-out intact values that are flagged
+        self.per_source: dict[str | None, tuple[float | None, float | None]] = {}
 
     def score(self, features: list[list[int]]) -> np.ndarray:
         if not features:
@@ -249,6 +272,7 @@ def train(values: list[tuple[str, str | None]], st: Statistics, epochs: int = 6,
     feats: list[list[int]] = []
     y: list[int] = []
     held: list[bool] = []
+    origin: list[str | None] = []
     for i, (t, source) in enumerate(values):
         made = [(t, source, 0), (soften(t, rng), source, 0), (cut(t, rng), source, 1), (cut(t, rng), source, 1)]
         if fields:
@@ -259,6 +283,7 @@ def train(values: list[tuple[str, str | None]], st: Statistics, epochs: int = 6,
                 feats.append(hashed(v, src, st))
                 y.append(label)
                 held.append(i % 5 == 0)
+                origin.append(src)
     w = np.zeros(1 << BITS)
     if not feats:
         return CutModel(w, 2.0, {})  # without intact values nothing is called truncated
@@ -285,6 +310,10 @@ def train(values: list[tuple[str, str | None]], st: Statistics, epochs: int = 6,
     if out:
         p, truth = m.score([feats[i] for i in out]) >= 0.5, label[out] > 0
         m.held_out = {"cut_found": float(p[truth].mean()) if truth.any() else 0.0, "intact_flagged": float(p[~truth].mean()) if (~truth).any() else 0.0, "values": float(len(out))}
+    for src in {origin[i] for i in out}:
+        own = [k for k, i in enumerate(out) if origin[i] == src]
+        q, real = p[own], truth[own]
+        m.per_source[src] = (float(q[real].mean()) if real.any() else None, float(q[~real].mean()) if (~real).any() else None)
     return m
 
 
@@ -326,14 +355,14 @@ def limits(docs: DataFrame, text: str, source: str, pile: float = 8.0, least: in
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", sample_rows: int = 6000) -> tuple[CutModel, Statistics]:
     """Statistics over all documents, and the model from at most ``sample_rows`` intact ones: texts
-    that end a sentence, chosen by hash of the key; of a longer text the last 1,500 characters."""
+    that end a sentence, chosen by hash of the key."""
     st = statistics(docs, text, source)
     ended = F.substring(F.rtrim(F.col(text)), -12, 12).rlike(r"[^.…‥⋯\s][.!?。！？][\"'”’»」』）)\]]*$")  # an ellipsis may hide a cut
     pool = docs.where(F.col(text).isNotNull() & ended)
     n = pool.count()
     share = min(1.0, 2 * sample_rows / max(1, n))  # what is sorted and sent to the driver stays bounded
     h = F.xxhash64(F.col(key).cast("string"), F.lit("cut"))
-    rows = pool.select(F.substring(F.col(text), -1500, 1500).alias("t"), F.col(source).alias("s"), h.alias("h")).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1_000_000)).orderBy("h").limit(sample_rows).collect()
+    rows = pool.select(F.col(text).alias("t"), F.col(source).alias("s"), h.alias("h")).where(F.pmod("h", F.lit(1_000_000)) < math.ceil(share * 1_000_000)).orderBy("h").limit(sample_rows).collect()
     return train([(r["t"], r["s"]) for r in rows], st), st
 
 
@@ -362,6 +391,10 @@ def truncated(docs: DataFrame) -> DataFrame:
 
 
 def rates(docs: DataFrame) -> DataFrame:
-    """Per source: documents, truncated ones, their rate."""
+    """Per source: documents, truncated ones, their rate, and what the model does on held-out values
+    of the source (sources of the bounded sample only): the share of artificial cuts that it finds,
+    and of intact values that it flags."""
     model, st = fit(docs)
-    return scored(docs, model, st).groupBy("source").agg(F.count("*").alias("docs"), F.count_if("truncated").alias("truncated"), F.avg(F.col("truncated").cast("double")).alias("rate"))
+    per = scored(docs, model, st).groupBy("source").agg(F.count("*").alias("docs"), F.count_if("truncated").alias("truncated"), F.avg(F.col("truncated").cast("double")).alias("rate"))
+    held = docs.sparkSession.createDataFrame([(s, *x) for s, x in model.per_source.items()], "s string, held_out_found double, held_out_flagged double")
+    return per.join(held, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")

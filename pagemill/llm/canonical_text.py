@@ -19,7 +19,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 # Look-alikes, the first of a line is the Latin letter.
 _LATIN = """
@@ -69,6 +69,44 @@ X Х Χ
 Y Ү Υ
 Z Ζ Ꮓ
 """
+# Letters of scripts and blocks that repeat Latin shapes, by line as above.
+_SHAPES = """
+B ꓐ Ⲃ
+C ꓚ Ⲥ
+D ꓓ
+E ꓰ
+F ꓝ
+G ꓖ
+H ꓧ Ⲏ
+I ꓲ Ⲓ
+J ꓙ
+K ꓗ Ⲕ
+L ꓡ Ⳑ
+M ꓟ Ⲙ
+N ꓠ Ⲛ
+O ꓳ Ⲟ
+P ꓑ Ⲣ
+R ꓣ Ꭱ Ꮢ
+S ꓢ
+T ꓔ Ⲧ
+U ꓴ
+V ꓦ
+W ꓪ
+X ꓫ Ⲭ
+Y ꓬ Ⲩ
+Z ꓜ Ⲍ
+A ꓮ Ⲁ
+c ᴄ ⲥ
+g ց
+o ᴏ ⲟ
+p ⲣ
+s ꜱ
+u ᴜ
+v ᴠ
+w ᴡ
+x ⲭ
+z ᴢ
+"""
 # Katakana, and the kanji, hiragana or bopomofo that looks the same.
 _JAPANESE = """
 ー 一
@@ -106,8 +144,8 @@ def _lines(block: str) -> list[list[str]]:
 
 # aug: the writing systems a Unicode script counts for
 _AUG = {"Han": {"Jpan", "Kore"}, "Hiragana": {"Jpan"}, "Katakana": {"Jpan"}, "Hangul": {"Kore"}}
-_PREFERENCE = ("Latin", "Jpan", "Kore", "Cyrillic", "Greek", "Armenian", "Cherokee")
-_SCRIPTS = {s: regex.compile(rf"\p{{Script={s}}}") for s in ("Latin", "Han", "Hiragana", "Katakana", "Hangul", "Cyrillic", "Greek", "Armenian", "Cherokee", "Arabic", "Hebrew", "Thai", "Devanagari")}
+_PREFERENCE = ("Latin", "Jpan", "Kore", "Cyrillic", "Greek", "Armenian", "Cherokee", "Coptic", "Lisu")
+_SCRIPTS = {s: regex.compile(rf"\p{{Script={s}}}") for s in ("Latin", "Han", "Hiragana", "Katakana", "Hangul", "Cyrillic", "Greek", "Armenian", "Cherokee", "Coptic", "Lisu", "Arabic", "Hebrew", "Thai", "Devanagari")}
 
 
 def script(ch: str) -> str:
@@ -127,7 +165,9 @@ def systems(ch: str) -> frozenset[str] | None:
 
 _CLASS: dict[str, int] = {}
 _MEMBERS: list[list[str]] = []
-for _line in _lines(_LATIN) + _lines(_JAPANESE):
+_EXTRA = {line[0]: line[1:] for line in _lines(_SHAPES)}
+_KNOWN = {line[0] for line in _lines(_LATIN)}
+for _line in [[*line, *_EXTRA.get(line[0], ())] for line in _lines(_LATIN)] + [line for line in _lines(_SHAPES) if line[0] not in _KNOWN] + _lines(_JAPANESE):
     _line = [c for c in _line if unicodedata.normalize("NFKC", c) == c]  # others are gone before
     for _c in _line:
         _CLASS.setdefault(_c, len(_MEMBERS))
@@ -239,12 +279,24 @@ def canonical_udf(texts: pd.Series) -> pd.Series:
     return canonical_series(texts)
 
 
-def _script_report(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def whole_script(token: str) -> bool:
+    """Whether a token of one script could be typed wholly in another too: each of its letters has a
+    double, and some writing system that it is not written in can spell all of them."""
+    classes = [_CLASS.get(c) for c in token if script(c) != "Common"]
+    typed, mixed = resolve(token)
+    if mixed or not typed or None in classes:
+        return False
+    able = frozenset.intersection(*(frozenset(_SPELL[k]) for k in classes))
+    return bool(able - typed)
+
+
+def _script_report(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
-        yield pd.Series([0 if t is None else sum(resolve(m)[1] for m in _TOKEN.findall(unicodedata.normalize("NFKC", t))) for t in texts], index=texts.index)
+        tokens = [() if t is None else _TOKEN.findall(unicodedata.normalize("NFKC", t)) for t in texts]
+        yield pd.DataFrame({"mixed_tokens": [sum(resolve(m)[1] for m in own) for own in tokens], "whole_script_tokens": [sum(whole_script(m) for m in own) for own in tokens]}, index=texts.index)
 
 
-mixed_tokens_udf = F.pandas_udf(_script_report, IntegerType())
+script_report_udf = F.pandas_udf(_script_report, StructType([StructField("mixed_tokens", IntegerType()), StructField("whole_script_tokens", IntegerType())]))
 
 
 def with_canonical(df: DataFrame, text: str = "transcript", out: str = "canonical") -> DataFrame:

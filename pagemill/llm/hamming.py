@@ -5,6 +5,11 @@ differ in at most ``radius`` bits share at least ``t = ell + 1`` of the ``b`` sh
 global order of the shingles, rarest first, sets that share ``t`` of ``b`` shingles share at least
 ``ell`` of them within their first ``b - t + ell = ell + radius`` shingles. So the join key is
 every ``ell``-subset of that prefix: exact, and the most frequent shingles never become keys.
+
+A shingle holds its block, so equal shingles stand at the same place of the code; and a key ends one
+shingle before the end of the order at the latest, so what is left of both codes always suffices for
+the one shingle more that ``t`` asks for: the position filter is part of the keys. The length filter
+on the numbers of set bits is a condition of the join.
 """
 
 from __future__ import annotations
@@ -16,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 64
-#: The join keys per code and the candidates per probe it accepts before a longer key is taken.
-CANDIDATES_PER_PROBE = 300
+#: What a key row costs, in candidates checked.
+KEY_COST = 8
 
 
 def code64(phash: Column) -> Column:
@@ -49,13 +54,14 @@ def _blocks(code: Column, blocks: int) -> list[Column]:
 
 
 def choose_ell(n_index: int, radius: int) -> int:
-    """The shortest key that leaves few candidates per probe. It moves work between key rows and
-    candidate rows; the result is the same for every ``ell``."""
-    for ell in range(2, 6):
-        b, p = ell + radius + 1, ell + radius
-        if n_index * comb(p, ell) / 2 ** (BITS * ell / b) <= CANDIDATES_PER_PROBE:
-            return ell
-    return 5
+    """The length of the keys for which key rows and candidates of a probe together cost least. It
+    moves work between the two; the result is the same for every ``ell``."""
+
+    def cost(ell: int) -> float:
+        blocks, keys = ell + radius + 1, comb(ell + radius, ell)
+        return KEY_COST * keys + n_index * keys / 2 ** (BITS * ell / blocks)
+
+    return min(range(1, 13), key=cost)
 
 
 def shingle_order(index: DataFrame, code: str, blocks: int) -> tuple[list[int], int]:

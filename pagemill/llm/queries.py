@@ -26,10 +26,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_canonical(spark: SparkSession, d: str) -> DataFrame:
-    """Every transcript of both tables in its one form, with its count of mixed-script tokens."""
+    """Every transcript of both tables in its one form, with its counts of mixed-script tokens and of
+    whole-script confusables."""
     rows = [table(spark, d, t).select(F.lit(t).alias("table_name"), "ord", "transcript") for t in ("teacher_predictions", "gold_lines")]
     both = canonical_text.with_canonical(rows[0].unionByName(rows[1]))
-    return both.select("table_name", "ord", "canonical", canonical_text.mixed_tokens_udf("transcript").alias("mixed_tokens"))
+    return both.select("table_name", "ord", "canonical", canonical_text.script_report_udf("transcript").alias("s")).select("table_name", "ord", "canonical", "s.mixed_tokens", "s.whole_script_tokens")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -153,6 +154,14 @@ SQL: dict[str, str] = {
         k AS (SELECT side.path, t, e, sha, code FROM side JOIN img USING (path))
         SELECT DISTINCT least(a.path, b.path) AS image_path_a, greatest(a.path, b.path) AS image_path_b
         FROM k a JOIN k b ON a.t = 1 AND b.e = 1 AND {_SAME}""",
+    "p1_report": f"""
+        WITH paths AS (SELECT replace(image_path, '\\', '/') AS path, lower(trim(split)) AS split FROM dataset_manifest),
+        img AS (SELECT DISTINCT replace(image_path, '\\', '/') AS path, lower(trim(sha256)) AS sha, {_CODE} AS code FROM page_assets),
+        tr AS (SELECT DISTINCT sha, code FROM img JOIN paths USING (path) WHERE split = 'train'),
+        leak AS (SELECT DISTINCT a.path FROM img a JOIN tr b ON {_SAME}),
+        ev AS (SELECT DISTINCT path, split FROM paths JOIN img USING (path) WHERE split IN ('val', 'test')),
+        src AS (SELECT DISTINCT replace(image_path, '\\', '/') AS path, source_id FROM page_assets)
+        SELECT split, source_id, count(*) AS eval_pages, count(leak.path) AS leaked_pages FROM ev JOIN src USING (path) LEFT JOIN leak USING (path) GROUP BY split, source_id""",
     "p3_found": f"""
         WITH c AS (SELECT ord, CASE WHEN {_LABEL} IN ('jp', 'ja-jp') THEN 'ja' WHEN {_LABEL} IN ('kr', 'ko-kr') THEN 'ko' ELSE {_LABEL} END AS label,
                 {_count(_JA)} AS ja, {_count(_KO)} AS ko, {_count(_LATIN)} + {_count(r"\x{FB00}-\x{FB06}")} AS latin FROM teacher_predictions),
@@ -163,6 +172,11 @@ SQL: dict[str, str] = {
     "p4_found": f"""
         WITH r AS (SELECT ord, coalesce(batch_id, 0) AS batch, lower(trim(sha256)) AS sha, {_CODE} AS code FROM page_assets)
         SELECT DISTINCT a.ord FROM r a JOIN r b ON a.batch >= 1 AND b.ord < a.ord AND {_SAME}""",
+    "p4_repeats": f"""
+        WITH r AS (SELECT ord, coalesce(batch_id, 0) AS batch, lower(trim(sha256)) AS sha, {_CODE} AS code FROM page_assets),
+        m AS (SELECT a.ord, a.batch, min(CASE WHEN a.sha = b.sha THEN b.ord END) AS s, min(CASE WHEN a.code = b.code THEN b.ord END) AS c, min(CASE WHEN bit_count(xor(a.code, b.code)) <= 6 THEN b.ord END) AS n
+              FROM r a LEFT JOIN r b ON b.ord < a.ord AND {_SAME} WHERE a.batch >= 1 GROUP BY a.ord, a.batch)
+        SELECT ord, batch, coalesce(s, c, n) AS match_ord, CASE WHEN s IS NOT NULL THEN 'sha256' WHEN c IS NOT NULL THEN 'phash' WHEN n IS NOT NULL THEN 'near' ELSE 'new' END AS kind FROM m""",
     "p5_found": f"""
         WITH RECURSIVE r AS (SELECT ord, lower(trim(sha256)) AS sha, {_CODE} AS code, asset_id, nullif(trim(canonical_asset_id), '') AS canon,
                 (phash IS NOT NULL)::INT + (width IS NOT NULL)::INT + (height IS NOT NULL)::INT AS present, coalesce(width::BIGINT * height::BIGINT, 0) AS area, fetched_at::TIMESTAMPTZ AS ts FROM page_assets),

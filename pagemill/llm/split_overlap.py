@@ -75,25 +75,18 @@ def split_overlaps(manifest: DataFrame, assets: DataFrame, radius: int = 6) -> D
 
 
 def overlap_report(manifest: DataFrame, assets: DataFrame, radius: int = 6) -> DataFrame:
-    """Per evaluation split and source: overlapping pairs, leaked evaluation pages and all of them.
+    """Per evaluation split and source: pages, and those of them that stand in train too.
 
-    A page counts under every source that delivered it; a page in val and test counts in both.
+    A page counts under every source that delivered it; a page in val and test counts in both. Pages
+    are found by their keys, without a row for each pair: an image that very many pages of both
+    sides hold costs a row a page.
     """
     keys = cut_lineage(page_keys(manifest, assets), "p1-keys")
-    pairs = path_overlaps(keys, radius).groupBy(F.col("eval_path").alias("path")).agg(F.count("*").alias("pairs"))
+    train, held = keys.where("in_train"), keys.where("in_val or in_test")
+    shas = train.select("sha").where("sha is not null").distinct()
+    codes = hamming_pairs(held.select("code").where("code is not null").distinct(), train.select("code").where("code is not null").distinct(), radius).select(F.col("code_a").alias("code")).distinct()
+    leaked = held.join(shas, "sha", "left_semi").select("path").unionByName(held.join(codes, "code", "left_semi").select("path")).distinct().withColumn("leaked", F.lit(True))
     sources = assets.select(slash_path(F.col("image_path")).alias("path"), "source_id").distinct()
-    splits = (
-        keys.where("in_val or in_test")
-        .select("path", F.explode(F.array_compact(F.array(F.when(F.col("in_val"), F.lit("val")), F.when(F.col("in_test"), F.lit("test"))))).alias("split"))
-        .distinct()
-    )
-    return (
-        splits.join(sources, "path")
-        .join(pairs, "path", "left")
-        .groupBy("split", "source_id")
-        .agg(
-            F.count("*").alias("eval_pages"),
-            F.count("pairs").alias("leaked_pages"),
-            F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("overlap_pairs"),
-        )
-    )
+    splits = held.select("path", F.explode(F.array_compact(F.array(F.when(F.col("in_val"), F.lit("val")), F.when(F.col("in_test"), F.lit("test"))))).alias("split")).distinct()
+    pages = splits.join(sources, "path").join(leaked, "path", "left").groupBy("split", "source_id")
+    return pages.agg(F.count("*").alias("eval_pages"), F.count("leaked").alias("leaked_pages"))

@@ -6,7 +6,7 @@ import argparse
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.hashing import SplitRule
@@ -14,14 +14,19 @@ from pagemill.operators import annotation, catalog, evaluate, predictions, revie
 from pagemill.operators.predictor import failures_of, predictions_of, run_predictor
 from pagemill.plans.cycle import dataset_bundle, label_cycle, load_config, training_plan
 from pagemill.schemas import PAGE_ASSET
-from pagemill.session import get_session, release_cuts
+from pagemill.session import cut_lineage, get_session, release_cuts
 from pagemill.sources import feeds, files, images
 
 
 def _preds(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions in any of the JSON layouts, numbered in a stable way."""
-    p = files.read_predictions(spark, path)
-    return p.withColumn("ord", F.coalesce(F.xxhash64(*[F.col(c) for c in ("asset_id", "image_path", "transcript")], F.to_json("polygon")), F.lit(0)))
+    """Predictions in any of the JSON layouts, numbered by position."""
+    return numbered(files.read_predictions(spark, path))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``ord``, unique and ascending within each file also where rows are equal; written
+    once, so that it is the same whatever reads it."""
+    return cut_lineage(rows.withColumn("ord", F.monotonically_increasing_id()), "numbered")
 
 
 def _assets(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -43,20 +48,27 @@ def init(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
 
 
 def ingest(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
-    """Chapters through an adapter into the catalog and the content-addressed store."""
+    """Chapters through an adapter into the catalog and the content-addressed store: the given ones,
+    those of series, or those of the latest feed."""
+    a.chapters = a.chapters or feeds.chosen_chapters(feeds.load_class(a.adapter)(**json.loads(a.kwargs)), a.series, a.pages, a.most)
+    if not a.chapters:
+        return {"chapters": []}
     spark.dataSource.register(feeds.ChapterSource)
     rows = spark.read.format("chapters").options(adapter=a.adapter, kwargs=a.kwargs, chapters=json.dumps(a.chapters), failfast=str(a.fail_fast)).load()
-    from pagemill.session import cut_lineage
-
     rows = cut_lineage(rows, "pages")  # every page is fetched once
     found = images.fingerprint(rows.where("error is null"))
     images.store(found, a.store)
     place = images.store_path(F.col("sha256"), F.col("extension"))
     old = spark.read.schema(PAGE_ASSET).parquet(a.catalog)
     base = (old.agg(F.max("ord")).collect()[0][0] or 0) + 1
-    from pyspark.sql import Window
-
-    number = F.row_number().over(Window.partitionBy("chapter_id").orderBy("page_index")) + F.lit(base)  # a chapter's pages
+    # numbers go on over the chapters as they were asked for; within one by page
+    sizes = {r["chapter_id"]: r["n"] for r in found.groupBy("chapter_id").agg(F.count("*").alias("n")).collect()}
+    before, offsets = base, []
+    for c in dict.fromkeys(a.chapters):
+        offsets.append((c, before))
+        before += sizes.get(c, 0)
+    found = found.join(spark.createDataFrame(offsets, "chapter_id string, before long"), "chapter_id")
+    number = F.col("before") + F.row_number().over(Window.partitionBy("chapter_id").orderBy("page_index", "sha256")) - 1
     new = found.select(
         catalog.asset_id(F.col("source_id"), F.col("series_id"), F.col("chapter_id"), F.col("page_index")).alias("asset_id"), "source_id", "series_id", "chapter_id", "page_index",
         F.concat(F.lit(a.store.rstrip("/") + "/"), place).alias("image_path"), "sha256", "phash", F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"),
@@ -96,8 +108,6 @@ def gold(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
 
 
 def teacher(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
-    from pagemill.session import cut_lineage
-
     run = cut_lineage(run_predictor(_assets(spark, a), a.predictor, json.loads(a.kwargs), a.fail_fast), "run")
     files.write_jsonl(predictions_of(run).drop("line"), a.out)
     return {"out": a.out, "failures": failures_of(run).count()}
@@ -126,8 +136,7 @@ def queue(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
 
 
 def score(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
-    g = files.read_gold(spark, a.gold)
-    g = g.withColumn("ord", F.xxhash64("image_path", "transcript", F.to_json("polygon")))
+    g = numbered(files.read_gold(spark, a.gold))
     p = _preds(spark, a.predictions)
     report = evaluate.overall(g, p, a.iou).collect()[0].asDict()
     return {"overall": report, "slices": [r.asDict() for r in evaluate.slices(g, p, a.iou).collect()]}
@@ -167,7 +176,7 @@ def parser() -> argparse.ArgumentParser:
 
     need, flag, kwargs = {"required": True}, {"action": "store_true"}, {"default": "{}"}
     command(init, "catalog")
-    command(ingest, "catalog", adapter=need, kwargs=kwargs, chapters={"nargs": "+", "required": True}, store=need, fail_fast=flag)
+    command(ingest, "catalog", adapter=need, kwargs=kwargs, chapters={"nargs": "+"}, series={"nargs": "+"}, pages={"type": int, "default": 1, "help": "pages of the latest feed"}, most={"type": int, "help": "chapters at most"}, store=need, fail_fast=flag)
     command(export, "assets", out=need)
     command(tasks, "assets", out=need, predictions={}, base_url={}, local_files=flag)
     command(convert, export=need, out=need)

@@ -67,8 +67,11 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def infer_lang(c: Column) -> Column:
-    """ko, ja, latin or mixed by the scripts that occur; null for null."""
+def infer_lang(c: Column, default: str = "mixed") -> Column:
+    """ko, ja, latin or mixed by the scripts that occur; null for null. A default other than mixed is
+    taken as it is, without looking."""
+    if default != "mixed":
+        return F.when(c.isNotNull(), default)
     has = {"hangul": "[\\uAC00-\\uD7AF]", "kana": "[\\u3040-\\u30FF]", "han": "[\\u4E00-\\u9FFF]", "latin": "[A-Za-z]"}
     hit = {k: c.rlike(v) for k, v in has.items()}
     return (
@@ -81,8 +84,8 @@ def infer_lang(c: Column) -> Column:
     )
 
 
-def script_confidence(c: Column) -> Column:
-    return F.when(strip(c) == "", 0.0).when(infer_lang(c) == "mixed", 0.85).otherwise(0.95)
+def script_confidence(c: Column, default: str = "mixed") -> Column:
+    return F.when(strip(c) == "", 0.0).when(infer_lang(c, default) == "mixed", 0.85).otherwise(0.95)
 
 
 def join_tokens(tokens: Column, spaces: bool = True) -> Column:

@@ -56,12 +56,13 @@ def content_dedup(assets: DataFrame) -> DataFrame:
     """Each row with the first row of its content: canonical_ord, canonical, duplicate.
 
     The first asset to deliver an image is its canonical one; later assets with the same bytes are
-    duplicates; a redelivery of the asset itself is not."""
+    duplicates; a redelivery of the asset itself is not. Rows of one ord are in order of asset_id, so
+    every duplicate has its canonical asset."""
     first = assets.where("sha256 is not null").groupBy(F.lower("sha256").alias("sha")).agg(F.min(F.struct("ord", "asset_id", "image_path", "phash", "width", "height")).alias("f"))
     j = assets.join(first, F.lower("sha256") == F.col("sha"), "left")
     known = F.coalesce("f.ord", F.col("ord"))
     return j.select(
-        "ord", "asset_id", known.alias("canonical_ord"), F.when(F.col("f.ord") < F.col("ord"), F.col("f.asset_id")).alias("canonical"),
+        "ord", "asset_id", known.alias("canonical_ord"), F.when((F.col("f.ord") < F.col("ord")) | ((F.col("f.ord") == F.col("ord")) & (F.col("f.asset_id") != F.col("asset_id"))), F.col("f.asset_id")).alias("canonical"),
         F.coalesce(F.col("f.asset_id") != F.col("asset_id"), F.lit(False)).alias("duplicate"),
         F.coalesce("f.image_path", F.col("image_path")).alias("stored_path"), F.coalesce("f.phash", F.col("phash")).alias("known_phash"),
         F.coalesce("f.width", F.col("width")).alias("known_width"), F.coalesce("f.height", F.col("height")).alias("known_height"),
@@ -81,8 +82,8 @@ def select_assets(assets: DataFrame, source_id: str | None = None, series_id: st
 
 
 def chapter_status(assets: DataFrame) -> DataFrame:
-    """Per chapter: pages, pages without a size or hash (failed ones), status, first asset."""
-    bad = F.col("width").isNull() | F.col("height").isNull() | F.col("phash").isNull()
+    """Per chapter of a catalog: pages, pages without a size (no readable image), status, first asset."""
+    bad = F.col("width").isNull() | F.col("height").isNull()
     return assets.groupBy("source_id", "series_id", "chapter_id").agg(
         F.count("*").alias("pages"), F.count_if(bad).alias("page_errors"),
         F.min_by("asset_id", F.struct("page_index", "ord")).alias("first_asset_id"),

@@ -68,7 +68,9 @@ def normalize_predictions(raw: DataFrame, assets: DataFrame | None = None) -> tu
     c = lambda name, kind="string": F.col(f"r.{name}") if name in have else F.lit(None).cast(kind)
     joined = raw.alias("r")
     if assets is not None:
-        one = assets.groupBy("asset_id").agg(*[F.first(k).alias(f"a_{k}") for k in ("series_id", "image_path", "domain")])
+        known = F.struct(*[F.col(k).alias(f"a_{k}") for k in ("series_id", "image_path", "domain")])
+        last = F.max_by(known, "ord") if "ord" in assets.columns else F.max(known)  # of an asset's rows the last delivered
+        one = assets.groupBy("asset_id").agg(last.alias("k")).select("asset_id", "k.*")
         joined = joined.join(one.withColumnRenamed("asset_id", "a_id").alias("a"), c("asset_id") == F.col("a_id"), "left")
     else:
         joined = joined.select("*", *[F.lit(None).cast("string").alias(f"a_{k}") for k in ("series_id", "image_path", "domain")])

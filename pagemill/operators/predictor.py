@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import subprocess
 from collections.abc import Iterator
 from typing import Any, Protocol
@@ -78,17 +79,28 @@ def failures_of(run: DataFrame) -> DataFrame:
     return run.where("error is not null").select("asset_id", "image_path", "error")
 
 
+_SCRIPTS = {"ja": re.compile("[\u3040-\u30ff]"), "ko": re.compile("[\uac00-\ud7af]"), "han": re.compile("[\u4e00-\u9fff]"), "latin": re.compile("[A-Za-z]")}
+
+
+def language_of(text: str) -> str:
+    """ja, ko, latin or mixed, as ``infer_lang`` has it for columns: the first script that occurs."""
+    first = next((name for name, letters in _SCRIPTS.items() if letters.search(text)), "mixed")
+    return "ja" if first == "han" else first
+
+
 class CommandPredictor:
     """A predictor around a program that prints word boxes as tab-separated text for an image."""
 
-    def __init__(self, executable: str = "tesseract", languages: str = "jpn+kor+eng", psm: int = 11, oem: int = 1, timeout: float = 120.0, extra: tuple[str, ...] = (), min_word: float = 35.0, min_line: float = 0.45, min_height: float = 8.0):
+    def __init__(self, executable: str = "tesseract", languages: str = "jpn+kor+eng", psm: int = 11, oem: int = 1, timeout: float = 120.0, extra: tuple[str, ...] = (), min_word: float = 35.0, min_line: float = 0.45, min_height: float = 8.0, min_length: int = 1, default_lang: str = "mixed"):
         self.command = lambda image: [executable, image, "stdout", "-l", languages, "--oem", str(oem), "--psm", str(psm), *extra, "tsv"]
-        self.timeout, self.min_word, self.min_line, self.min_height = timeout, min_word, min_line, min_height
+        self.timeout, self.min_word, self.min_line, self.min_height, self.min_length = timeout, min_word, min_line, min_height, min_length
+        self.default_lang = default_lang
 
     def predict_page(self, asset: dict[str, Any]) -> list[dict[str, Any]]:
         r = subprocess.run(self.command(asset["image_path"]), capture_output=True, text=True, encoding="utf-8", errors="replace", timeout=self.timeout, check=False)
         if r.returncode:
-            raise RuntimeError((r.stderr or r.stdout or "").strip() or f"exit code {r.returncode}")
+            said = [x.strip() for x in (r.stderr, r.stdout) if x and x.strip()]
+            raise RuntimeError(said[0] if said else f"{self.command(asset['image_path'])[0]} ended with code {r.returncode}")
         return self.lines(r.stdout)
 
     def lines(self, table: str) -> list[dict[str, Any]]:
@@ -104,8 +116,10 @@ class CommandPredictor:
         for _, g in words.groupby(["page_num", "block_num", "par_num", "line_num"], sort=False):
             x1, y1, x2, y2 = g.left.min(), g.top.min(), (g.left + g.width).max(), (g.top + g.height).max()
             conf = min(1.0, max(0.0, g.conf.mean() / 100.0))
-            if conf >= self.min_line and y2 - y1 >= self.min_height:
-                out.append({"transcript": " ".join(g.text), "polygon": [(x1, y1), (x2, y1), (x2, y2), (x1, y2)], "confidence": conf, "min_text_height": float(y2 - y1), "text_type": "dialogue"})
+            text = " ".join(g.text)
+            if conf >= self.min_line and y2 - y1 >= self.min_height and len(text) >= self.min_length:
+                lang = self.default_lang if self.default_lang != "mixed" else language_of(text)
+                out.append({"transcript": text, "lang": lang, "script_confidence": 0.85 if lang == "mixed" else 0.95, "polygon": [(x1, y1), (x2, y1), (x2, y2), (x1, y2)], "confidence": conf, "min_text_height": float(y2 - y1), "text_type": "dialogue"})
         return out
 
 

@@ -30,7 +30,8 @@ def catalog_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def catalog_point(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.find(_a(spark, d), "inkferry:bitter-temple-00000600:c000001:0001").select("asset_id", "ord", "sha256")
+    a = _a(spark, d)
+    return catalog.find(a, a.agg(F.min("asset_id")).collect()[0][0] or "").select("asset_id", "ord", "sha256")
 
 
 def catalog_lookup_sha(spark: SparkSession, d: str) -> DataFrame:
@@ -78,7 +79,19 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = ", ".join(f"{c} {t}" for c, t in a.dtypes)
     got = ingest_available(page_stream(spark, f"{d}/page_assets.parquet", schema), CatalogSink(spark, f"{root}/catalog"), f"{root}/checkpoint")
-    return got.select("asset_id", "ord", "sha256", "is_duplicate")
+    return got.select("asset_id", "ord", "sha256", "is_duplicate", "canonical_ord", "canonical", "duplicate")
+
+
+def chapter_report(spark: SparkSession, d: str) -> DataFrame:
+    """The report on deliveries of pages, those without a width taken as failed downloads."""
+    return feeds.chapter_report(_a(spark, d).select("chapter_id", "page_index", F.when(F.col("width").isNull(), "no image").alias("error")))
+
+
+def repeated_ord(spark: SparkSession, d: str) -> DataFrame:
+    """Content marks of rows that share their ord in pairs: every duplicate has its canonical asset."""
+    a = _a(spark, d).withColumn("ord", F.floor(F.col("ord") / 2))
+    marks = catalog.content_dedup(a)
+    return marks.agg(F.count("*").alias("n"), F.count_if(F.col("duplicate") & F.col("canonical").isNull()).alias("without"), F.count_if("duplicate").alias("duplicates"))
 
 
 def _tasks(spark: SparkSession, d: str) -> DataFrame:
@@ -245,7 +258,7 @@ def cycle_summary(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        catalog_scan, catalog_point, catalog_lookup_sha, catalog_lookup_ids, catalog_decode, catalog_upsert, asset_ids, content_dedup, asset_filter, chapter_status, ingest_summary, stream_ingest,
+        catalog_scan, catalog_point, catalog_lookup_sha, catalog_lookup_ids, catalog_decode, catalog_upsert, asset_ids, content_dedup, repeated_ord, asset_filter, chapter_status, chapter_report, ingest_summary, stream_ingest,
         ls_task_points, ls_task_items, ls_task_json, gold_tasks, exception_tasks, image_keys, ls_export_regions, ls_image_url, words_to_lines, lang_infer, lenient_parse, box_decode, nms, crop_windows, project_polygons, magic_extension, png_size,
         store_paths, chapter_pages, teacher_run, teacher_failures, cycle_summary,
     )
@@ -253,7 +266,7 @@ QUERIES = {
 
 _UPSERTED = f"WITH {CATALOG} SELECT asset_id, ord, sha256, is_duplicate FROM last"
 _STATUS = """
-    b AS (SELECT *, width IS NULL OR height IS NULL OR phash IS NULL AS bad FROM page_assets),
+    b AS (SELECT *, width IS NULL OR height IS NULL AS bad FROM page_assets),
     s AS (SELECT source_id, series_id, chapter_id, count(*) AS pages, count(*) FILTER (bad) AS page_errors, arg_min(asset_id, page_index::BIGINT * 100000000000 + ord) AS first_asset_id,
             CASE WHEN count(*) FILTER (bad) = 0 THEN 'ok' WHEN count(*) FILTER (bad) < count(*) THEN 'partial' ELSE 'failed' END AS status FROM b GROUP BY ALL)"""
 _LINES = f"""
@@ -293,12 +306,17 @@ def _script(c: str) -> str:
 
 SQL = {
     "catalog_scan": "SELECT source_id, series_id, chapter_id, page_index, asset_id, ord FROM page_assets",
-    "catalog_point": "SELECT asset_id, ord, sha256 FROM page_assets WHERE asset_id = 'inkferry:bitter-temple-00000600:c000001:0001'",
+    "catalog_point": "SELECT asset_id, ord, sha256 FROM page_assets WHERE asset_id = (SELECT min(asset_id) FROM page_assets)",
     "catalog_lookup_sha": "SELECT lower(sha256) AS sha256, asset_id, ord, is_duplicate FROM page_assets QUALIFY row_number() OVER (PARTITION BY lower(sha256) ORDER BY is_duplicate, asset_id, ord) = 1",
     "catalog_lookup_ids": "SELECT a.asset_id, a.ord, w.position FROM page_assets a JOIN (SELECT asset_id, min(ord) AS position FROM teacher_predictions GROUP BY asset_id) w USING (asset_id)",
     "catalog_decode": f"SELECT ord, nullif({strip_sql('canonical_asset_id')}, '') AS canonical_asset_id, metadata_json::JSON ->> 'page_no' AS page_no, metadata_json::JSON ->> 'chapter_no' AS chapter_no FROM page_assets",
     "catalog_upsert": _UPSERTED,
-    "stream_ingest": _UPSERTED,
+    "stream_ingest": f"""WITH u AS ({_UPSERTED}), f AS (SELECT lower(sha256) AS sha, ord AS f_ord, asset_id AS f_asset FROM page_assets QUALIFY row_number() OVER (PARTITION BY lower(sha256) ORDER BY ord) = 1)
+        SELECT asset_id, ord, sha256, is_duplicate, f_ord AS canonical_ord, CASE WHEN f_ord < ord THEN f_asset END AS canonical, f_asset <> asset_id AS duplicate FROM u JOIN f ON lower(sha256) = sha""",
+    "chapter_report": """SELECT chapter_id, count(width) AS pages, count(*) - count(width) AS page_errors, min(page_index) FILTER (width IS NOT NULL) AS first_page,
+        CASE WHEN count(*) = count(width) THEN 'ok' WHEN count(width) > 0 THEN 'partial' ELSE 'failed' END AS status FROM page_assets GROUP BY chapter_id""",
+    "repeated_ord": """WITH f AS (SELECT lower(sha256) AS sha, asset_id AS f_asset FROM page_assets QUALIFY row_number() OVER (PARTITION BY lower(sha256) ORDER BY ord // 2, asset_id) = 1)
+        SELECT count(*) AS n, 0 AS without, count(*) FILTER (f_asset <> asset_id) AS duplicates FROM page_assets JOIN f ON lower(sha256) = sha""",
     "asset_ids": "SELECT ord, printf('%s:%s:%s:%04d', source_id, series_id, chapter_id, page_index) AS made_id FROM page_assets",
     "content_dedup": """WITH f AS (SELECT lower(sha256) AS sha, ord AS f_ord, asset_id AS f_asset, image_path AS f_path FROM page_assets QUALIFY row_number() OVER (PARTITION BY lower(sha256) ORDER BY ord) = 1)
         SELECT ord, f_ord AS canonical_ord, CASE WHEN f_ord < ord THEN f_asset END AS canonical, f_asset <> asset_id AS duplicate, f_path AS stored_path FROM page_assets JOIN f ON lower(sha256) = sha""",

@@ -59,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
         at = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
         if at:
             return at.rstrip("/")
+    if not (spark.sparkContext.master or "").startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that all executors share")
     at = "file://" + tempfile.mkdtemp(prefix="pagemill-")
     spark.conf.set(_OWN_DIR, at)
     return at

@@ -100,6 +100,9 @@ class ChapterAdapter(ABC):
     @abstractmethod
     def list_chapters(self, cursor: str | None = None) -> tuple[list[dict[str, Any]], str | None]: ...
 
+    def series_chapters(self, series_id: str) -> list[dict[str, Any]]:
+        raise NotImplementedError(f"{type(self).__name__} does not list the chapters of a series")
+
     @abstractmethod
     def chapter_pages(self, chapter_id: str) -> Sequence[Page]: ...
 
@@ -141,6 +144,33 @@ class JsonFeedAdapter(ChapterAdapter):
         return r.check().content
 
 
+    def series_info(self, series_id: str) -> dict[str, Any]:
+        return self._json("info", id=series_id)
+
+    def series_chapters(self, series_id: str) -> list[dict[str, Any]]:
+        """The chapters of a series as listed, without those that have no id."""
+        info = self.series_info(series_id)
+        rows = [{"series_id": series_id, "chapter_id": str(c.get("id") or "").strip(), "title": c.get("title"), "is_new": bool(c.get("isNew"))} for c in info.get("chapters") or []]
+        return [r for r in rows if r["chapter_id"]]
+
+
+def chosen_chapters(adapter: ChapterAdapter, series: Sequence[str] | None = None, pages: int = 1, most: int | None = None) -> list[str]:
+    """Chapter ids of the given series, or else of the first ``pages`` pages of the latest feed; each
+    once, ``most`` of them at most. A feed that gives no further cursor has ended."""
+    ids: list[str] = []
+    if series:
+        for s in series:
+            ids += [c["chapter_id"] for c in adapter.series_chapters(s)]
+    else:
+        cursor: str | None = None
+        for _ in range(max(pages, 1)):
+            rows, cursor = adapter.list_chapters(cursor)
+            ids += [c["chapter_id"] for c in rows]
+            if cursor is None:
+                break
+    return list(dict.fromkeys(ids))[:most]
+
+
 def cursor_page(cursor: str | None) -> int:
     """The page number of a cursor: none is 1, never below 1; anything but a number is an error."""
     return 1 if cursor is None else max(1, int(cursor))

@@ -74,7 +74,7 @@ class CatalogSink:
         plain = ", ".join(f"`{c}` {t}" for c, t in batch.dtypes)
         rows = cut_lineage(batch.withColumn("sha", F.lower("sha256")), "stream")  # read several times
         parts = {"contents": self._bucket(F.col("sha")), "catalog": self._bucket(F.col("asset_id"))}
-        touched = {t: [r[0] for r in rows.select(b).distinct().collect()] for t, b in parts.items()}  # the buckets at most
+        touched = {t: [r[0] for r in rows.where("sha is not null" if t == "contents" else "true").select(b).distinct().collect()] for t, b in parts.items()}  # the buckets at most
         known = self._read("contents", state["contents"], CONTENTS, touched["contents"]).withColumn("old", F.lit(True))
         own = rows.where("sha is not null").groupBy("sha").agg(F.min(F.struct("ord", "asset_id")).alias("first")).withColumn("old", F.lit(False))
         # what came first stays the first, also if a row of smaller ord comes late

@@ -31,6 +31,7 @@ def test_commands_end_to_end(spark, tmp_path):
     assert sorted((r["chapter_id"], r["status"], r["pages"]) for r in got["chapters"]) == [("c", "partial", 2), ("d", "partial", 2)]
     rows = spark.read.parquet(cat[1]).collect()
     assert len(rows) == 4 and sum(r["is_duplicate"] for r in rows) == 2 and len(list((tmp_path / "store").rglob("*.png"))) == 1
+    assert len({r["ord"] for r in rows}) == 4 and all(r["canonical_asset_id"] for r in rows if r["is_duplicate"])
     run("ingest", *cat, "--adapter", "tests.test_commands:Shelf", "--chapters", "c", "--store", str(tmp_path / "store"))
     assert spark.read.parquet(cat[1]).count() == 4  # again: an upsert
     run("export", *cat, "--out", str(tmp_path / "assets"))
@@ -51,6 +52,10 @@ def test_commands_end_to_end(spark, tmp_path):
     (tmp_path / "gold.jsonl").write_text(json.dumps({k: line[k] for k in ("image_path", "series_id", "polygon", "transcript")}))
     (tmp_path / "one.json").write_text(json.dumps({"predictions": [{**line, "polygon": [[p["x"], p["y"]] for p in line["polygon"]], "ord": None}]}))
     assert run("score", "--gold", str(tmp_path / "gold.jsonl"), "--predictions", str(tmp_path / "one.json"))["overall"]["matched_cer"] == 0.0
+    # equal lines stay lines of their own: two of gold, one predicted
+    (tmp_path / "gold.jsonl").write_text("\n".join([json.dumps({k: line[k] for k in ("image_path", "series_id", "polygon", "transcript")})] * 2))
+    twice = run("score", "--gold", str(tmp_path / "gold.jsonl"), "--predictions", str(tmp_path / "one.json"))["overall"]
+    assert (twice["matched_lines"], twice["gold_lines"], twice["prediction_lines"], twice["detection_precision"], twice["detection_recall"]) == (1, 2, 1, 1.0, 0.5)
 
 
 class Model:

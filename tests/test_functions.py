@@ -45,6 +45,10 @@ def test_languages_by_script(spark):
     got = values(spark, rows, "t string", T.infer_lang(F.col("t")), T.script_confidence(F.col("t")))
     assert [g[0] for g in got] == ["ja", "ja", "ko", "ja", "ko", "latin", "mixed", "mixed", None]
     assert [g[1] for g in got][:8] == [0.95] * 6 + [0.85, 0.0]
+    assert values(spark, rows[:2] + [(None,)], "t string", T.infer_lang(F.col("t"), "ko"), T.script_confidence(F.col("t"), "ko")) == [("ko", 0.95), ("ko", 0.95), (None, 0.95)]
+    from pagemill.operators.predictor import language_of
+
+    assert [language_of(t) for (t,) in rows[:8]] == ["ja", "ja", "ko", "ja", "ko", "latin", "mixed", "mixed"]
 
 
 def test_lenient_numbers(spark):

@@ -106,6 +106,17 @@ def test_quotas():
     assert review.quotas(2, {"train": 5, "val": 5, "test": 5}, r) == {"train": 2, "val": 0, "test": 0}
     assert review.quotas(4, {"train": 0, "val": 9, "test": 9}, r) == {"train": 0, "val": 1, "test": 1}
     assert sum(review.ideal_counts(7, SplitRule(0.34, 0.33, 0.33)).values()) == 7
+    for limit in range(0, 40):
+        for have in ({"train": 3, "val": 100, "test": 1}, {"train": 100, "val": 0, "test": 100}, {}):
+            got = review.quotas(limit, have, SplitRule(0.2, 0.5, 0.3))
+            held = [s for s in got if have.get(s)]
+            assert sum(got.values()) <= limit and all(got[s] <= have.get(s, 0) for s in got) and (limit < len(held) or all(got[s] for s in held))
+
+
+def test_numbers_of_equal_lines_and_rows_of_one_ord(spark):
+    df = spark.createDataFrame([("a", 5, "X", "p1"), ("b", 5, "x", "p2"), ("c", 5, None, "p3"), ("a", 6, "x", "p4")], "asset_id string, ord long, sha256 string, image_path string").selectExpr("*", "null as phash", "null as width", "null as height")
+    got = sorted((r["asset_id"], r["ord"], r["canonical"], r["duplicate"]) for r in catalog.content_dedup(df).collect())
+    assert got == [("a", 5, None, False), ("a", 6, "a", False), ("b", 5, "a", True), ("c", 5, None, False)]
 
 
 def test_gold_batch_fills_up(spark):
@@ -279,6 +290,8 @@ def test_command_output():
     p = CommandPredictor()
     got = p.lines(head + "5\t1\t1\t1\t1\t1\t10\t10\t40\t20\t96\tHello\n5\t1\t1\t1\t1\t2\t60\t10\t40\t20\t93\tworld\n5\t1\t1\t1\t2\t1\t1\t1\t5\t5\t40\tlow\n")
     assert [(x["transcript"], round(x["confidence"], 6)) for x in got] == [("Hello world", 0.945)]
+    assert (got[0]["lang"], got[0]["script_confidence"]) == ("latin", 0.95) and CommandPredictor(default_lang="ko").lines(head + "5\t1\t1\t1\t1\t1\t10\t10\t40\t20\t96\tHello\n")[0]["lang"] == "ko"
+    assert CommandPredictor(min_length=6).lines(head + "5\t1\t1\t1\t1\t1\t10\t10\t40\t20\t96\tHello\n") == []
     assert p.lines("") == [] and p.lines(head) == []
 
 

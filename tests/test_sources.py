@@ -183,10 +183,35 @@ def test_streamed_catalog_equals_batch_and_survives_replay(spark, tmp_path):
     sink = CatalogSink(spark, str(tmp_path / "catalog"), PAGE_ASSET)
     with pytest.raises(FileNotFoundError):
         sink.latest()
-    for k in range(3):
-        assets(spark, asset("a", 1, k + 1, width=k), asset(f"x{k}", 2, 10 + k)).write.mode("append").parquet(src)
+    fed = [[asset("a", 1, k + 1, width=k, sha256=f"S{k}"), asset(f"x{k}", 2, 10 + k, sha256="s0"), asset(f"n{k}", 3, 20 + k, sha256=None)] for k in range(3)]
+    for rows in fed:
+        assets(spark, *rows).write.mode("append").parquet(src)
         got = ingest_available(page_stream(spark, src, PAGE_ASSET), sink, str(tmp_path / "cp"))
-    assert sorted((r["asset_id"], r["ord"]) for r in got.collect()) == [("a", 3), ("x0", 10), ("x1", 11), ("x2", 12)]
-    before = sorted(tuple(r) for r in sink.read(1).collect())
-    sink.write(assets(spark, asset("a", 1, 2, width=1), asset("x1", 2, 11)), 1)  # batch 1 again
-    assert sorted(tuple(r) for r in sink.read(1).collect()) == before
+    rows = lambda df: sorted((r["asset_id"], r["ord"], r["canonical_ord"], r["canonical"], r["duplicate"]) for r in df.collect())
+    want = [("a", 3, 3, None, False), *[(f"n{k}", 20 + k, 20 + k, None, False) for k in range(3)], *[(f"x{k}", 10 + k, 1, "a", True) for k in range(3)]]
+    assert rows(got) == want
+    sink.write(assets(spark, *fed[2]), 2)  # the last batch again, as after a failure
+    assert rows(sink.latest()) == want and sink.versions() == [1, 2]
+    # a batch writes the buckets that it touches, and what no state names any more is gone
+    parts = [p for p in (tmp_path / "catalog" / "catalog").rglob("bucket=*")]
+    assert 0 < len([p for p in parts if p.parent.name == "batch=2"]) <= 3 and len(parts) <= 9
+
+
+class Feed:
+    """An HTTP session with two pages of a latest feed and two series."""
+
+    def get(self, url, params=None, headers=None):
+        series = {"one": [{"id": "one/2", "title": "b", "isNew": True}, {"id": " "}, {"id": "one/1"}], "two": [{"id": "two/9"}]}
+        body = {"latest": {1: [{"id": "one"}, {"id": ""}], 2: [{"id": "two"}, {"id": "one"}]}.get(params.get("page"), [])} if url.endswith("latest") else {"info": {"id": params["id"], "chapters": series[params["id"]]}}
+        answer = type("R", (), {"status": 200, "json": lambda self: next(iter(body.values()))})()
+        answer.check = lambda: answer
+        return answer
+
+
+def test_chapters_of_series_and_of_the_latest_feed():
+    adapter = feeds.JsonFeedAdapter("http://feed", session=Feed())
+    assert [(c["chapter_id"], c["is_new"]) for c in adapter.series_chapters("one")] == [("one/2", True), ("one/1", False)]
+    assert feeds.chosen_chapters(adapter, ["two", "one"]) == ["two/9", "one/2", "one/1"] and feeds.chosen_chapters(adapter, ["two", "one"], most=2) == ["two/9", "one/2"]
+    assert feeds.chosen_chapters(adapter) == ["one/2"] and feeds.chosen_chapters(adapter, pages=9) == ["one/2", "two/9"]
+    with pytest.raises(NotImplementedError):
+        Shelf().series_chapters("one")

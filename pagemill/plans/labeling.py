@@ -198,3 +198,13 @@ SQL = {
     "gold_batch": f"WITH {_GOLD} SELECT * FROM gold",
     "gold_batch_summary": f"WITH {_GOLD} SELECT split, review_mode, count(*) AS pages, count(*) FILTER (preannotated_lines > 0) AS preannotated_pages FROM gold GROUP BY ALL",
 }
+
+
+def gold_sql() -> str:
+    """The beginning of a statement about the table ``gold``, the batch."""
+    return f"WITH {_GOLD}"
+
+
+def routed_sql() -> str:
+    """The beginning of a statement about the table ``routed``, the pages with their route."""
+    return f"WITH {_ROUTED}"

@@ -11,7 +11,7 @@ from pagemill.operators import annotation, catalog, detection, lines, prediction
 from pagemill.operators.predictor import failures_of, predictions_of, run_predictor
 from pagemill.plans.cycle import label_cycle
 from pagemill.plans.evaluation import box_sql
-from pagemill.plans.labeling import CATALOG, split_sql, strip_sql
+from pagemill.plans.labeling import CATALOG, GOLD_PAGES, gold_sql, routed_sql, split_sql, strip_sql
 from pagemill.session import shared_dir, table
 from pagemill.sources import feeds, images
 from pagemill.streaming.ingest import CatalogSink, ingest_available, page_stream
@@ -129,6 +129,28 @@ def exception_tasks(spark: SparkSession, d: str) -> DataFrame:
     return annotation.as_json(annotation.tasks(routed, predictions.by_asset(_p(spark, d)), extra))
 
 
+def _field(name: str, kind: str) -> Column:
+    return F.get_json_object("task", f"$.data.{name}").cast(kind).alias(name)
+
+
+def gold_task_fields(spark: SparkSession, d: str) -> DataFrame:
+    """What the documents of a gold batch say, read from their JSON again."""
+    batch = review.gold_batch(_a(spark, d), _p(spark, d), page_limit=GOLD_PAGES).join(review.catalog(_a(spark, d)).select("asset_id", "width", "height"), "asset_id").withColumnRenamed("split", "target_split")
+    docs = annotation.as_json(annotation.tasks(batch, predictions.by_asset(_p(spark, d)), ("target_split", "review_mode", "preannotated_lines", "gold_batch_rank")))
+    return docs.select(_field("asset_id", "string"), _field("target_split", "string"), _field("review_mode", "string"), _field("preannotated_lines", "bigint"), _field("gold_batch_rank", "int"))
+
+
+def exception_task_fields(spark: SparkSession, d: str) -> DataFrame:
+    """What the documents of review by exception say, read from their JSON again."""
+    return exception_tasks(spark, d).select(_field("asset_id", "string"), _field("route", "string"), _field("accepted_predictions", "bigint"), _field("rejected_predictions", "bigint"))
+
+
+def ls_task_fields(spark: SparkSession, d: str) -> DataFrame:
+    """What the documents of all pages say, read from their JSON again."""
+    items = F.size(F.from_json(F.get_json_object("task", "$.predictions[0].result"), "array<string>"))
+    return ls_task_json(spark, d).select(_field("asset_id", "string"), _field("series_id", "string"), _field("domain", "string"), F.greatest(F.lit(0), F.coalesce(items, F.lit(0))).alias("items"))
+
+
 def image_keys(spark: SparkSession, d: str) -> DataFrame:
     """All images that predictions or gold lines name."""
     return _p(spark, d).select("image_path").union(table(spark, d, "gold_lines").select("image_path")).distinct()
@@ -259,7 +281,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         catalog_scan, catalog_point, catalog_lookup_sha, catalog_lookup_ids, catalog_decode, catalog_upsert, asset_ids, content_dedup, repeated_ord, asset_filter, chapter_status, chapter_report, ingest_summary, stream_ingest,
-        ls_task_points, ls_task_items, ls_task_json, gold_tasks, exception_tasks, image_keys, ls_export_regions, ls_image_url, words_to_lines, lang_infer, lenient_parse, box_decode, nms, crop_windows, project_polygons, magic_extension, png_size,
+        ls_task_points, ls_task_items, ls_task_json, ls_task_fields, gold_tasks, gold_task_fields, exception_tasks, exception_task_fields, image_keys, ls_export_regions, ls_image_url, words_to_lines, lang_infer, lenient_parse, box_decode, nms, crop_windows, project_polygons, magic_extension, png_size,
         store_paths, chapter_pages, teacher_run, teacher_failures, cycle_summary,
     )
 }
@@ -325,6 +347,9 @@ SQL = {
     "ingest_summary": f"""WITH {_STATUS} SELECT count(*) FILTER (status = 'ok') AS succeeded_chapters, count(*) FILTER (status = 'partial') AS partial_chapters, count(*) FILTER (status = 'failed') AS failed_chapters,
         sum(pages - page_errors)::BIGINT AS ingested_pages, sum(page_errors)::BIGINT AS page_errors FROM s""",
     "ls_task_points": f"WITH {_LINES} SELECT asset_id, 'pred-' || i AS region, {_PX} AS px, {_PY} AS py, w AS original_width, h AS original_height FROM j",
+    "ls_task_fields": f"WITH {_LINES} SELECT asset_id, series_id, domain, coalesce(4 * n, 0) AS items FROM last LEFT JOIN (SELECT asset_id, count(*) AS n FROM j GROUP BY asset_id) USING (asset_id)",
+    "gold_task_fields": f"{gold_sql()} SELECT asset_id, split AS target_split, review_mode, preannotated_lines, gold_batch_rank FROM gold",
+    "exception_task_fields": f"{routed_sql()} SELECT asset_id, route, accepted_predictions, rejected_predictions FROM routed WHERE route <> 'auto_accept'",
     "ls_task_items": f"WITH {_LINES} SELECT asset_id, from_name, count(*) AS items FROM (SELECT asset_id, unnest(['text_region', 'transcript', 'language', 'direction']) AS from_name FROM j) GROUP BY ALL",
     "ls_export_regions": f"""WITH {_LINES}, z AS (SELECT *, {strip_sql("transcript")} AS t FROM j)
         SELECT page_path AS image_path, page_series AS series_id, t AS transcript, coalesce(lang, 'mixed') AS lang, direction, text_type, {split_sql("page_series")} AS split, 'teacher' AS source, 0e0 AS confidence,

@@ -6,7 +6,7 @@ from pagemill.plans import registry
 from tests.conftest import SMALL, same_as_sql
 
 #: these queries name quotas that the smallest data do not have
-OTHER_SIZE = {"gold_batch": "/root/testdata/sf0.01", "gold_batch_summary": "/root/testdata/sf0.01"}
+OTHER_SIZE = {"gold_batch": "/root/testdata/sf0.01", "gold_batch_summary": "/root/testdata/sf0.01", "gold_task_fields": "/root/testdata/sf0.01"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.SQL))

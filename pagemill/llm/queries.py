@@ -139,6 +139,14 @@ def _count(letters: str) -> str:
     return f"length(regexp_replace(coalesce(transcript, ''), '[^{letters}]', '', 'g'))"
 
 
+_WIDE = "".join(chr(0xFF00 + ord(c) - 0x20) for c in "0123456789abcdefghijklmnopqrstuvwxyz")
+
+
+def _letters(c: str) -> str:
+    """Letters and digits in lower case, full-width ones in the usual width."""
+    return f"regexp_replace(translate(lower(nfc_normalize({c})), '{_WIDE}', '0123456789abcdefghijklmnopqrstuvwxyz'), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
 _JA = r"\x{3005}-\x{3007}\x{3041}-\x{3096}\x{309D}-\x{309F}\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{2F00}-\x{2FD5}\x{FF66}-\x{FF9D}"
 _KO = r"\x{AC00}-\x{D7A3}\x{1100}-\x{1112}"  # a syllable in parts has one leading consonant
 _LATIN = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}\x{FF21}-\x{FF3A}\x{FF41}-\x{FF5A}\x{FB00}-\x{FB06}" + "".join(f"\\x{{{ord(c):X}}}" for line in canonical_text._lines(canonical_text._LATIN) for c in line if not c.isascii())
@@ -193,6 +201,11 @@ SQL: dict[str, str] = {
     "p6_pages": "SELECT replace(image_path, '\\', '/') AS image_path, count(*) AS records, 1 AS splits FROM dataset_manifest WHERE image_path IS NOT NULL GROUP BY 1",
     "p6_series": "SELECT replace(lower(trim(series_id)), '_', '-') AS series_id, count(*) AS records, 1 AS splits FROM dataset_manifest WHERE trim(series_id) <> '' GROUP BY 1",
     "p6_targets": "SELECT unnest(['train', 'val', 'test']) AS split, true AS kept",
+    "p7_found": f"""
+        WITH i AS (SELECT item_id, {_letters("text")} AS t FROM eval_items), d AS (SELECT doc_id, {_letters("text")} AS t FROM documents),
+        g AS (SELECT DISTINCT item_id, substr(t, k, 60) AS w FROM (SELECT item_id, t, unnest(range(1, length(t) - 58)) AS k FROM i WHERE length(t) >= 60)),
+        h AS (SELECT doc_id, substr(t, k, 60) AS w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 58)) AS k FROM d WHERE length(t) >= 60))
+        SELECT DISTINCT doc_id, item_id FROM h JOIN g USING (w)""",
     "p8_targets": """
         SELECT source, true AS share_kept, true AS cap_kept FROM source_targets t
         WHERE target_share > 0 AND max_repeats > 0 AND EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND d.text <> '')""",

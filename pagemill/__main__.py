@@ -13,6 +13,7 @@ from pagemill.functions.hashing import SplitRule
 from pagemill.operators import annotation, catalog, evaluate, predictions, review
 from pagemill.operators.predictor import failures_of, predictions_of, run_predictor
 from pagemill.plans.cycle import dataset_bundle, label_cycle, load_config, training_plan
+from pagemill.plans.workspace import Workspace, figures, input_path
 from pagemill.schemas import PAGE_ASSET
 from pagemill.session import cut_lineage, get_session, release_cuts
 from pagemill.sources import feeds, files, images
@@ -50,7 +51,7 @@ def init(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
 def ingest(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
     """Chapters through an adapter into the catalog and the content-addressed store: the given ones,
     those of series, or those of the latest feed."""
-    a.chapters = a.chapters or feeds.chosen_chapters(feeds.load_class(a.adapter)(**json.loads(a.kwargs)), a.series, a.pages, a.most)
+    a.chapters = a.chapters or feeds.chosen_chapters(feeds.load_adapter(a.adapter, json.loads(a.kwargs)), a.series, a.pages, a.most)
     if not a.chapters:
         return {"chapters": []}
     spark.dataSource.register(feeds.ChapterSource)
@@ -81,6 +82,25 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
     return {"chapters": [r.asDict() for r in feeds.chapter_report(rows).collect()]}
 
 
+def bundle(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
+    """A workspace from a feed: its chapters into the catalog, one label cycle (unless there is no
+    predictor), manifests, review queue, summary and archive."""
+    w = Workspace(spark, a.workspace).create()
+    a.catalog, a.store = w.at("catalog"), w.at("store")
+    if not w.exists("catalog"):
+        init(spark, a)
+    chapters = ingest(spark, a)["chapters"]
+    out: dict[str, Any] = {"chapters": chapters, **figures(chapters)}
+    assets = catalog.select_assets(spark.read.schema(PAGE_ASSET).parquet(a.catalog))
+    if a.predictor:
+        c = label_cycle(assets, a.predictor, json.loads(a.predictor_kwargs), _policy(a), None, _thresholds(a))
+        out["review_tasks"] = files.write_tasks(annotation.as_json(c.tasks), w.at("review_queue"))
+        out |= dataset_bundle(assets, c, a.workspace, w.at("archive") if a.archive else None)
+    else:
+        files.write_jsonl(assets, w.at("page_assets"))
+    return out | {"places": {r["name"]: r["bytes"] for r in w.summary().collect() if r["present"]}}
+
+
 def export(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
     files.write_jsonl(catalog.scan(_assets(spark, a)), a.out)
     return {"out": a.out}
@@ -143,7 +163,7 @@ def score(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
 
 
 def plan(spark: SparkSession, a: argparse.Namespace) -> dict[str, Any]:
-    c = load_config(a.config)
+    c = load_config(input_path(a.config))
     return {"stages": [r.asDict() for r in training_plan(spark, c).collect()], "benchmarks": c["benchmarks"]}
 
 
@@ -177,6 +197,7 @@ def parser() -> argparse.ArgumentParser:
     need, flag, kwargs = {"required": True}, {"action": "store_true"}, {"default": "{}"}
     command(init, "catalog")
     command(ingest, "catalog", adapter=need, kwargs=kwargs, chapters={"nargs": "+"}, series={"nargs": "+"}, pages={"type": int, "default": 1, "help": "pages of the latest feed"}, most={"type": int, "help": "chapters at most"}, store=need, fail_fast=flag)
+    command(bundle, "thresholds", "audit", workspace=need, adapter=need, kwargs=kwargs, chapters={"nargs": "+"}, series={"nargs": "+"}, pages={"type": int, "default": 1}, most={"type": int}, fail_fast=flag, predictor={}, predictor_kwargs=kwargs, archive=flag)
     command(export, "assets", out=need)
     command(tasks, "assets", out=need, predictions={}, base_url={}, local_files=flag)
     command(convert, export=need, out=need)

@@ -95,8 +95,9 @@ class DetectorPredictor:
     """Pages to text regions, each read by a recognizer (any object with ``read(image) -> (text,
     confidence)``, by ``module:Class``). Regions without text give no line."""
 
-    def __init__(self, model: str | None = None, recognizer: str | None = None, size: int = 1280, padding: int = 8, session: Any = None, reader: Any = None, loader: Any = None, **limits: Any):
+    def __init__(self, model: str | None = None, recognizer: str | None = None, size: int = 1280, padding: int = 8, session: Any = None, reader: Any = None, loader: Any = None, rotate_tall: bool = False, tall: float = 1.35, **limits: Any):
         self.model, self.size, self.padding, self.limits = model, size, padding, limits
+        self.rotate_tall, self.tall = rotate_tall, tall
         self._session, self._reader, self._recognizer, self._loader = session, reader, recognizer, loader
 
     def session(self) -> Any:
@@ -129,8 +130,11 @@ class DetectorPredictor:
         for x1, y1, x2, y2, score, _ in self.detect(image).tolist():
             left, top = max(0, round(x1) - self.padding), max(0, round(y1) - self.padding)
             right, bottom = min(w, round(x2) + self.padding), min(h, round(y2) + self.padding)
-            text, conf = self.reader().read(image[top:bottom, left:right]) if self.reader() else ("", 0.0)
+            tall = (y2 - y1) / max(1.0, x2 - x1) >= self.tall
+            crop = image[top:bottom, left:right]
+            if tall and self.rotate_tall:  # a quarter turn to the left, for readers of horizontal lines
+                crop = crop.swapaxes(0, 1)[::-1]
+            text, conf = self.reader().read(crop) if self.reader() else ("", 0.0)
             if text.strip():
-                tall = (y2 - y1) / max(1.0, x2 - x1) >= 1.35
                 out.append({"transcript": text.strip(), "polygon": [(x1, y1), (x2, y1), (x2, y2), (x1, y2)], "direction": "vertical" if tall else "horizontal", "detection_confidence": score, "recognition_confidence": conf, "script_confidence": conf, "teacher_agreement": min(score, conf), "min_text_height": y2 - y1})
         return out

@@ -16,7 +16,7 @@ import urllib.request
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,6 +110,44 @@ class ChapterAdapter(ABC):
     def download(self, page: Page) -> bytes: ...
 
 
+class Request(NamedTuple):
+    url: str
+    params: dict[str, Any] | None = None
+    headers: dict[str, str] | None = None
+
+
+class RequestAdapter(ChapterAdapter):
+    """A template for sites with a JSON interface. A site says what to ask (the three ``ask`` hooks) and
+    how to read an answer (the two ``read`` hooks); sending, retries and failures are here."""
+
+    def __init__(self, session: HttpSession | None = None):
+        self.session = session or HttpSession()
+
+    @abstractmethod
+    def ask_chapters(self, cursor: str | None) -> Request: ...
+
+    @abstractmethod
+    def read_chapters(self, answer: Any) -> tuple[list[dict[str, Any]], str | None]: ...
+
+    @abstractmethod
+    def ask_pages(self, chapter_id: str) -> Request: ...
+
+    @abstractmethod
+    def read_pages(self, chapter_id: str, answer: Any) -> Sequence[Page]: ...
+
+    @abstractmethod
+    def ask_image(self, page: Page) -> Request: ...
+
+    def list_chapters(self, cursor: str | None = None) -> tuple[list[dict[str, Any]], str | None]:
+        return self.read_chapters(self.session.get(*self.ask_chapters(cursor)).check().json())
+
+    def chapter_pages(self, chapter_id: str) -> Sequence[Page]:
+        return self.read_pages(chapter_id, self.session.get(*self.ask_pages(chapter_id)).check().json())
+
+    def download(self, page: Page) -> bytes:
+        return self.session.get(*self.ask_image(page)).check().content
+
+
 class JsonFeedAdapter(ChapterAdapter):
     """A feed with ``/latest``, ``/info`` and ``/read``."""
 
@@ -186,6 +224,14 @@ def load_class(path: str) -> type:
     return getattr(importlib.import_module(module), name)
 
 
+def load_adapter(path: str, kwargs: dict[str, Any]) -> ChapterAdapter:
+    """The adapter of a class path; an object of another kind is an error."""
+    adapter = load_class(path)(**kwargs)
+    if not isinstance(adapter, ChapterAdapter):
+        raise TypeError(f"{path} is no {ChapterAdapter.__name__}")
+    return adapter
+
+
 def latest_items(feed: DataFrame, payload: str = "payload") -> DataFrame:
     """The items of landed ``/latest`` payloads that have an id."""
     items = feed.select(F.inline(F.from_json(payload, FEED_LATEST)))
@@ -234,7 +280,7 @@ class _Reader(DataSourceReader):
         return [_Chapter(c) for c in self.chapters]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        adapter, chapter = load_class(self.adapter)(**self.kwargs), partition.chapter_id
+        adapter, chapter = load_adapter(self.adapter, self.kwargs), partition.chapter_id
         try:
             pages = adapter.chapter_pages(chapter)
         except Exception as e:

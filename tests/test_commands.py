@@ -86,3 +86,62 @@ def test_detector_predictor():
     with pytest.raises(RuntimeError, match="no_such_module"):
         detector.require("no_such_module")
     assert len(detector.page_boxes(np.zeros((0, 6)), box, 50)) == 0
+
+
+def test_bundle_from_a_feed(spark, tmp_path):
+    w = str(tmp_path / "work")
+    got = main(["bundle", "--workspace", w, "--adapter", "tests.test_commands:Shelf", "--chapters", "c", "d"], spark)
+    assert (got["partial_chapters"], got["pages"], got["page_errors"]) == (2, 4, 2) and got["places"]["catalog"] > 0 and "review_queue" not in got["places"]
+    got = main(["bundle", "--workspace", w, "--adapter", "tests.test_commands:Shelf", "--chapters", "c", "--predictor", "pagemill.operators.predictor:SizePredictor", "--archive"], spark)
+    assert got["pages_considered"] == 2 and {"review_queue", "archive", "store"} <= set(got["places"])
+    assert main(["ingest", "--catalog", w, "--adapter", "tests.test_commands:Shelf", "--store", w], spark) == {"chapters": []}  # an empty feed
+
+
+def test_input_paths(tmp_path):
+    from pagemill.plans.workspace import input_path
+
+    (tmp_path / "c.json").write_text("{}")
+    assert input_path("c.json", (str(tmp_path),)) == str(tmp_path / "c.json") and input_path("pagemill/schemas.py").endswith("pagemill/schemas.py")
+    assert input_path("gone.json", must_exist=False) == "gone.json"
+    with pytest.raises(FileNotFoundError, match="gone.json"):
+        input_path("gone.json", (str(tmp_path),))
+
+
+class Site(feeds.RequestAdapter):
+    def ask_chapters(self, cursor):
+        return feeds.Request("u/list", {"page": cursor})
+
+    def read_chapters(self, answer):
+        return answer["rows"], answer["next"]
+
+    def ask_pages(self, chapter_id):
+        return feeds.Request(f"u/{chapter_id}")
+
+    def read_pages(self, chapter_id, answer):
+        return [feeds.Page("s", "t", chapter_id, k, x) for k, x in enumerate(answer)]
+
+    def ask_image(self, page):
+        return feeds.Request(page.image_ref, None, {"Referer": "r"})
+
+
+def test_template_of_an_adapter():
+    asked = []
+
+    def answer(url, headers, timeout):
+        asked.append((url, headers))
+        body = {"u/list?page=2": {"rows": [{"chapter_id": "a"}], "next": "3"}, "u/a": ["i1", "i2"]}.get(url)
+        return feeds.Response(200, b"image" if body is None else json.dumps(body).encode())
+
+    site = Site(feeds.HttpSession(transport=answer))
+    assert site.list_chapters("2") == ([{"chapter_id": "a"}], "3") and [p.image_ref for p in site.chapter_pages("a")] == ["i1", "i2"]
+    assert site.download(site.chapter_pages("a")[1]) == b"image" and asked[-1] == ("i2", {"Referer": "r"})
+    with pytest.raises(TypeError):
+        feeds.load_adapter("builtins:dict", {})
+
+
+def test_tall_regions_are_turned():
+    page = np.arange(200 * 100 * 3, dtype=np.uint8).reshape(200, 100, 3)
+    tall = type("M", (Model,), {"run": lambda self, _, feed: [np.array([[[10, 10, 40, 90, 0.9, 0]]])]})()
+    for turn, want in ((False, "30x160"), (True, "160x30")):
+        p = detector.DetectorPredictor(size=100, padding=0, session=tall, reader=Reader(), loader=lambda path: page, rotate_tall=turn)
+        assert [g["transcript"] for g in p.predict_page({"image_path": "x"})] == [want]

@@ -175,6 +175,19 @@ def test_chapter_source(spark):
         spark.read.format("chapters").option("adapter", "tests.test_sources:Shelf").option("chapters", '["gone"]').option("failfast", "true").load().collect()
 
 
+def test_prediction_files_by_suffix(spark, tmp_path):
+    one = {"asset_id": "a", "transcript": "t", "polygon": [[0, 0], [1, 0], [1, 1]]}
+    folder = tmp_path / "preds"
+    folder.mkdir()
+    (folder / "a.jsonl").write_text("\n".join([json.dumps({**one, "asset_id": f"a{k}"}) for k in range(3)] + ["", json.dumps({"predictions": [{**one, "asset_id": "w"}]})]))
+    (folder / "b.json").write_text(json.dumps([{**one, "asset_id": "b"}], indent=1))
+    (folder / "_SUCCESS").write_text("")
+    assert sorted(r["asset_id"] for r in files.read_predictions(spark, str(folder)).collect()) == ["a0", "a1", "a2", "b", "w"]
+    assert files.read_predictions(spark, str(folder / "a.*")).count() == 4
+    with pytest.raises(FileNotFoundError):
+        files.read_predictions(spark, str(folder / "none*"))
+
+
 def test_streamed_catalog_equals_batch_and_survives_replay(spark, tmp_path):
     from pagemill.streaming.ingest import CatalogSink, ingest_available, page_stream
     from tests.test_operators import asset, assets

@@ -104,14 +104,21 @@ def records(manifest: DataFrame) -> DataFrame:
 
 
 def ties(rows: DataFrame, assets: DataFrame | None) -> DataFrame:
-    """(u, v): hashes of the keys that stand together in a record, of a page and of an image of it."""
-    page = F.xxhash64(F.concat(F.lit("page "), "path"))
-    out = rows.where("series_id is not null and path is not null").select(F.xxhash64("unit_key").alias("u"), page.alias("v")).distinct()
+    """(u, v): hashes of the keys that stand together in a record, of a page and of an image of it.
+
+    Only what can tie keys: an image under several pages, a page with several such partners (its
+    being a key itself counts as one)."""
+    page = F.xxhash64(F.concat(F.lit("page "), "path")).alias("u")
+    paths = rows.where("path is not null")
+    out = paths.select(page, F.xxhash64("unit_key").alias("v")).distinct()  # a page without series is its own partner
     if assets is not None:
-        paths = rows.where("path is not null").select("path").distinct()
-        images = assets.select(slash_path(F.col("image_path")).alias("path"), F.lower(F.trim("sha256")).alias("sha")).where("sha is not null").distinct().join(paths, "path", "left_semi")
-        out = out.unionByName(images.select(page.alias("u"), F.xxhash64(F.concat(F.lit("image "), "sha")).alias("v")))
-    return out
+        images = assets.select(slash_path(F.col("image_path")).alias("path"), F.lower(F.trim("sha256")).alias("sha")).where("sha is not null").distinct().join(paths.select("path").distinct(), "path", "left_semi")
+        images = cut_lineage(images.select(page, F.xxhash64(F.concat(F.lit("image "), "sha")).alias("v")), "p6-images")
+        shared = images.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v")
+        out = out.unionByName(images.join(shared, "v", "left_semi"))
+    out = cut_lineage(out, "p6-ties")
+    several = out.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    return out.join(several, "u", "left_semi")
 
 
 def keep_together(manifest: DataFrame, assets: DataFrame | None = None, targets: dict[str, float] | None = None, bins: int = 100, shard_units: int = 20_000) -> DataFrame:

@@ -192,7 +192,7 @@ def test_catalog(spark):
 
 
 def test_chapters(spark):
-    a = assets(spark, asset("a", 2, 1), asset("b", 1, 2, phash=None), asset("c", 1, 3, chapter_id="d", width=None), asset("e", 1, 4, chapter_id="f"))
+    a = assets(spark, asset("a", 2, 1), asset("b", 1, 2, height=None), asset("c", 1, 3, chapter_id="d", width=None), asset("e", 1, 4, chapter_id="f"))
     c = {r["chapter_id"]: r for r in catalog.chapter_status(a).collect()}
     assert [(c[k]["status"], c[k]["first_asset_id"]) for k in "cdf"] == [("partial", "b"), ("failed", "c"), ("ok", "e")]
     s = catalog.ingest_summary(catalog.chapter_status(a)).collect()[0]

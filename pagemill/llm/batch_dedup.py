@@ -6,19 +6,22 @@ until it finds what an exhaustive search of stated test queries finds, and a gra
 beam does is searched exhaustively. A batch searches the shards before it and its own; all visited
 codes are ranked by their exact distance. Every ``fanout`` batches the shards of single batches are
 compacted into one, every ``fanout`` of these into one again, and so on. Rows with a known sha256 or
-an equal code need no search: they are found by their key. Graphs are rows of a table (codes,
-links, beam, recall), so a stored index serves any number of later batches.
+an equal code need no search: they are found by their key. In a stored index graphs are rows of a
+table (codes, links, beam, recall), which serves any number of later batches. A query over the tables
+alone (``repeats``) has all batches at once, so they are one run, compacted once: a query visits the graphs
+of the history and of this run, in which only rows before it match. Each graph is built in the task that
+searches it.
 
 A shard of few graphs is searched in all of them. A larger one is routed: its codes are put, once
 for each choice of ``ell`` of ``ell + radius`` blocks of bits, into the graph of the value of these
-blocks. Codes within the radius agree in one choice at least, so a query visits one graph a choice,
-a number that does not grow with the history.
+blocks. Codes within the radius agree in one choice at least, so a query visits one graph a choice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,9 @@ from pagemill.session import cut_lineage
 SHARD_CODES = 65_000
 #: Up to so many graphs of a shard all are searched; it is the number of choices with one block.
 ALL_PARTS = 7
-QUERY_BLOCK = 50_000
+QUERY_BLOCK = 100_000
+#: Most tasks of a search.
+SEARCH_TASKS = 2_000
 INDEX = "shard string, key string, sub int, low_batch int, high_batch int, size int, codes binary, links binary, ords binary, beam int, recall double"
 Shard = tuple[str, int, int, int]
 
@@ -90,11 +95,9 @@ def route(parts: int, radius: int) -> tuple[int, int]:
     graphs of the shard are searched."""
     if parts <= ALL_PARTS:
         return 0, 0
-    bits = (parts - 1).bit_length()
-    for ell in (1, 2, 3):
-        if bits <= ell * (BITS // (ell + radius)):
-            return ell, bits
-    return 3, 3 * (BITS // (3 + radius))
+    bits = {ell: min((parts - 1).bit_length(), ell * (BITS // (ell + radius))) for ell in (1, 2, 3)}
+    ell = min(bits, key=lambda e: comb(e + radius, e) * -(-parts // (1 << bits[e])))  # the fewest graphs to visit
+    return ell, bits[ell]
 
 
 def with_keys(df: DataFrame, routes: set[tuple[int, int]], radius: int) -> DataFrame:
@@ -113,60 +116,105 @@ def with_keys(df: DataFrame, routes: set[tuple[int, int]], radius: int) -> DataF
     return df.withColumn("key", F.explode(keys)).drop("ell", "bits")
 
 
+def members(codes: DataFrame, plan: list[Shard], radius: int) -> DataFrame:
+    """(shard, low, high, key, code, ord): the codes (code, ord, batch) once for each key of each of their shards."""
+    of_batch = [(b, n, lo, hi, *route(p, radius)) for n, lo, hi, p in plan for b in range(lo, hi + 1)]  # a row per batch and level
+    where = codes.sparkSession.createDataFrame(of_batch, "batch int, shard string, low int, high int, ell int, bits int")
+    return with_keys(codes.join(F.broadcast(where), "batch").select("shard", "low", "high", "code", "ord", "ell", "bits"), {route(p, radius) for *_, p in plan}, radius)
+
+
+def visitors(queries: DataFrame, pairs: list[tuple[int, str, int]], radius: int) -> DataFrame:
+    """(shard, key, code, ord): the queries (code, ord, batch) once for each key under the route of each
+    shard that is to meet their batch, by (batch, shard, parts)."""
+    to = queries.sparkSession.createDataFrame([(b, n, *route(p, radius)) for b, n, p in pairs], "batch int, shard string, ell int, bits int")
+    return with_keys(queries.join(F.broadcast(to), "batch").select("code", "ord", "shard", "ell", "bits"), {route(p, radius) for *_, p in pairs}, radius)
+
+
+def built(pdf: pd.DataFrame, radius: int) -> tuple[nsw.Graph, np.ndarray, float]:
+    """The tuned graph of (code, ord), the ord of each of its points, and its recall."""
+    pdf = pdf.sort_values("ord")
+    g = nsw.build(pdf["code"].to_numpy(np.int64).view(np.uint64).copy())
+    g.beam, recall = nsw.tune(g, radius)
+    return g, pdf["ord"].to_numpy(np.int64), recall
+
+
 def build_index(codes: DataFrame, plan: list[Shard], radius: int = 6, shard_codes: int = SHARD_CODES) -> DataFrame:
     """The shard table of ``codes`` (code, ord, batch) under a plan, one task per graph. A key that
     more codes have than a graph should hold gets several graphs."""
-    spark = codes.sparkSession
-    of_batch = [(b, n, lo, hi, *route(p, radius)) for n, lo, hi, p in plan for b in range(lo, hi + 1)]  # a row per batch and level
-    where = spark.createDataFrame(of_batch, "batch int, shard string, low int, high int, ell int, bits int")
-    member = with_keys(codes.join(where, "batch").select("shard", "low", "high", "code", "ord", "ell", "bits"), {route(p, radius) for *_, p in plan}, radius)
+    member = members(codes, plan, radius)
     subs = member.groupBy("shard", "key").agg(F.ceil(F.count("*") / shard_codes).cast("int").alias("subs"))
     member = member.join(subs, ["shard", "key"]).withColumn("sub", F.pmod(F.xxhash64("code"), F.col("subs")).cast("int")).drop("subs")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        g = nsw.build(pdf["code"].to_numpy(np.int64).view(np.uint64).copy())
-        beam, recall = nsw.tune(g, radius)
+        g, ords, recall = built(pdf, radius)
         c, e = g.to_bytes()
         first = {k: pdf[k].iloc[:1] for k in ("shard", "key", "sub")}
-        return pd.DataFrame({**first, "low_batch": pdf["low"].iloc[:1], "high_batch": pdf["high"].iloc[:1], "size": len(pdf), "codes": [c], "links": [e], "ords": [pdf["ord"].to_numpy(np.int64).tobytes()], "beam": beam, "recall": recall})
+        return pd.DataFrame({**first, "low_batch": pdf["low"].iloc[:1], "high_batch": pdf["high"].iloc[:1], "size": len(pdf), "codes": [c], "links": [e], "ords": [ords.tobytes()], "beam": g.beam, "recall": recall})
 
     return member.groupBy("shard", "key", "sub").applyInPandas(one, INDEX)
 
 
-def search_index(index: DataFrame, queries: DataFrame, plan: list[Shard], fanout: int, radius: int = 6) -> DataFrame:
+def earliest(g: nsw.Graph, ords: np.ndarray, qs: pd.DataFrame, radius: int) -> pd.DataFrame:
+    """(ord, match_ord) of the queries of a graph for which it holds a row before them, the first of these."""
+    mine = qs["ord"].to_numpy(np.int64)
+    r, p = nsw.neighbours(g, qs["code"].to_numpy(np.int64).view(np.uint64), radius)
+    ok = ords[p] < mine[r]
+    return pd.DataFrame({"ord": mine[r[ok]], "match_ord": ords[p[ok]]}).groupby("ord", as_index=False)["match_ord"].min()
+
+
+def search_all(codes: DataFrame, queries: DataFrame, plan: list[Shard], fanout: int, radius: int = 6, shard_codes: int = SHARD_CODES) -> DataFrame:
     """(ord, match_ord): for each query (code, ord, batch) that has one, the earliest row before it
-    whose code is within the radius, as far as the graphs find it."""
-    parts = {n: p for n, _, _, p in plan}
-    return search_pairs(index, queries, [(lo, n, parts[n]) for s, lo, _, _ in plan if s[0] == "b" for n in visits(plan, lo, fanout)], radius)
+    whose code is within the radius, as far as the graphs find it.
+
+    The shards are those that stand after the last batch of the plan; a batch meets those that begin
+    at or before it. Codes and queries go to the task of their graph, which builds, tunes and
+    searches it, so graphs are neither stored nor sent. A graph is built once for each block of
+    QUERY_BLOCK queries that visit it, and not at all without one."""
+    standing = set(visits(plan, max((hi for _, _, hi, _ in plan), default=0) + 1, fanout))
+    plan = [s for s in plan if s[0] in standing]
+    batches = sorted({b for _, lo, hi, _ in plan for b in range(max(lo, 1), hi + 1)})
+    member, q = members(codes, plan, radius), visitors(queries, [(b, n, p) for b in batches for n, lo, _, p in plan if lo <= b], radius)
+    key = ["shard", "key"]
+    graphs = member.groupBy(key).agg(F.ceil(F.count("*") / shard_codes).cast("int").alias("subs"))
+    asked = q.groupBy(key).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    graphs = cut_lineage(graphs.join(asked, key), "p4-graphs")  # a row per SHARD_CODES codes, about
+    number = graphs.agg(F.sum(F.col("subs") * F.col("blocks"))).first()[0] or 0
+    tasks = max(1, min(SEARCH_TASKS, 3 * number))
+
+    def sent(df: DataFrame, sub, block) -> DataFrame:
+        each = df.join(F.broadcast(graphs), key).withColumn("sub", sub).withColumn("block", block)
+        # two graphs of one number would be one graph of more codes, which finds the same
+        return each.select(F.xxhash64(*key, "sub", "block").alias("graph"), "code", "ord").repartition(tasks, "graph")
+
+    count = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    member = sent(member, F.pmod(F.xxhash64("code"), F.col("subs")).cast("int"), count("blocks"))
+    q = sent(q, count("subs"), F.pmod(F.xxhash64("code", F.lit(1)), F.col("blocks")).cast("int"))
+
+    def one(qs: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(pdf):
+            return pd.DataFrame({"ord": np.zeros(0, np.int64), "match_ord": np.zeros(0, np.int64)})
+        g, ords = built(pdf, radius)[:2]
+        return earliest(g, ords, qs, radius)
+
+    found = q.groupBy("graph").cogroup(member.groupBy("graph")).applyInPandas(one, "ord long, match_ord long")
+    return found.groupBy("ord").agg(F.min("match_ord").alias("match_ord"))
 
 
 def search_pairs(index: DataFrame, queries: DataFrame, pairs: list[tuple[int, str, int]], radius: int) -> DataFrame:
-    """``search_index`` with the (batch, shard, parts) that are to meet. A graph goes to as many tasks
-    as there are blocks of QUERY_BLOCK queries that visit it."""
-    spark = queries.sparkSession
-    to = spark.createDataFrame([(b, n, *route(p, radius)) for b, n, p in pairs], "batch int, shard string, ell int, bits int")
+    """``search_all`` in the graphs of a stored index, for the (batch, shard, parts) that are to meet. A
+    graph goes to as many tasks as there are blocks of QUERY_BLOCK queries that visit it."""
     graphs = index.select("shard", "key", "sub")
-    q = with_keys(queries.join(to, "batch").select("code", "ord", "shard", "ell", "bits"), {route(p, radius) for *_, p in pairs}, radius)
-    q = cut_lineage(q.join(graphs, ["shard", "key"]), "p4-visits")
+    q = cut_lineage(visitors(queries, pairs, radius).join(graphs, ["shard", "key"]), "p4-visits")
     graph = ["shard", "key", "sub"]
     blocks = q.groupBy(graph).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
     q = q.join(blocks, graph).withColumn("block", F.pmod(F.xxhash64("code", F.lit(1)), F.col("blocks")).cast("int")).drop("blocks")
     ix = index.join(blocks, graph).select(*graph, "codes", "links", "ords", "beam", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def one(qs: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"ord": np.zeros(0, np.int64), "match_ord": np.zeros(0, np.int64)})
         if not len(qs) or not len(shard):
-            return empty
+            return pd.DataFrame({"ord": np.zeros(0, np.int64), "match_ord": np.zeros(0, np.int64)})
         s = shard.iloc[0]
-        g = nsw.Graph.from_bytes(s["codes"], s["links"], int(s["beam"]))
-        ords = np.frombuffer(s["ords"], np.int64)
-        mine = qs["ord"].to_numpy(np.int64)
-        r, p = nsw.neighbours(g, qs["code"].to_numpy(np.int64).view(np.uint64), radius)
-        ok = ords[p] < mine[r]
-        if not ok.any():
-            return empty
-        return pd.DataFrame({"ord": mine[r[ok]], "match_ord": ords[p[ok]]}).groupby("ord", as_index=False)["match_ord"].min()
+        return earliest(nsw.Graph.from_bytes(s["codes"], s["links"], int(s["beam"])), np.frombuffer(s["ords"], np.int64), qs, radius)
 
     found = q.groupBy(*graph, "block").cogroup(ix.groupBy(*graph, "block")).applyInPandas(one, "ord long, match_ord long")
     return found.groupBy("ord").agg(F.min("match_ord").alias("match_ord"))
@@ -177,12 +225,14 @@ def repeats(assets: DataFrame, radius: int = 6, fanout: int = 5, shard_codes: in
 
     kind is ``sha256``, ``phash`` (equal code), ``near`` or ``new``; match_ord is an earlier row of
     the same image, null for a new one. Null or uninformative phash and null sha256 match nothing;
-    repeated rows are repeats of the first; an empty table gives no rows.
+    repeated rows are repeats of the first; an empty table gives no rows. The result is the same for
+    every ``fanout``, which is that of a stored index.
     """
     rows = cut_lineage(page_rows(assets), "p4-rows")
     codes = cut_lineage(first_codes(rows), "p4-codes")
     sizes = {r["batch"]: r["n"] for r in codes.groupBy("batch").agg(F.count("*").alias("n")).collect()}  # one row per batch
-    plan = shard_plan(sizes, fanout, shard_codes)
+    run = max([1, *sizes])  # all batches are there, so their compacted run is
+    plan = shard_plan(sizes, run, shard_codes)
     shas = rows.where("sha is not null").groupBy("sha").agg(F.min("ord").alias("sha_ord"))
     new = cut_lineage(
         rows.where("batch >= 1")
@@ -192,8 +242,7 @@ def repeats(assets: DataFrame, radius: int = 6, fanout: int = 5, shard_codes: in
         "p4-new",
     )
     open_ = new.where("code is not null and sha_ord is null and code_ord is null").select("code", "ord", "batch")
-    index = cut_lineage(build_index(codes, plan, radius, shard_codes), "p4-index")
-    near = search_index(index, open_, plan, fanout, radius)
+    near = search_all(codes, open_, plan, run, radius, shard_codes)
     kind = F.when(F.col("sha_ord").isNotNull(), "sha256").when(F.col("code_ord").isNotNull(), "phash").when(F.col("match_ord").isNotNull(), "near").otherwise("new")
     return new.join(near, "ord", "left").select("ord", "batch", F.coalesce("sha_ord", "code_ord", "match_ord").alias("match_ord"), kind.alias("kind"))
 

@@ -89,6 +89,25 @@ def test_graph_search_against_exhaustive():
     assert nsw.neighbours(one, codes[:1], 6)[1].tolist() == [0]
 
 
+def test_graphs_measure_few_codes(monkeypatch):
+    rng = np.random.default_rng(3)
+    codes = rng.permutation(np.unique(rng.integers(0, 2**64, 20_000, dtype=np.uint64)))
+    q, measured, count = nsw.probes(codes, 6, 512, seed=9), [0], np.bitwise_count
+
+    def counted(x):
+        measured[0] += x.size
+        return count(x)
+
+    monkeypatch.setattr(np, "bitwise_count", counted)
+    g = nsw.build(codes)
+    assert measured[0] <= 100 * len(codes)
+    measured[0] = 0
+    r, p = nsw.neighbours(g, q, 6, 12)
+    assert measured[0] <= 2_000 * len(q)
+    monkeypatch.undo()
+    assert len(r) >= 0.995 * len(nsw.exhaustive(codes, q, 6)[0]) and (count(q[r] ^ codes[p]) <= 6).all()
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(2001, 2100)] + [(5, 5), (None, 7), (1, 2), (2, 1)]
@@ -277,6 +296,24 @@ def test_shards_cover_everything_before_a_batch():
     assert batch_dedup.shard_plan({}, 5, 30) == []
 
 
+def test_routes_visit_the_fewest_graphs():
+    assert [batch_dedup.route(n, 6) for n in (7, 8, 512, 1200, 2000, 4000)] == [(0, 0), (1, 3), (1, 9), (1, 9), (1, 9), (2, 12)]
+
+
+def test_routed_repeats_against_all_pairs(spark, monkeypatch):
+    rng = random.Random(46)
+    base, codes = [rng.getrandbits(64) for _ in range(40)], []
+    while len(codes) < 400:
+        c = flip(rng.choice(base), rng.randint(0, 6), rng) if rng.random() < 0.5 else rng.getrandbits(64)
+        codes += [c] if c not in codes else []
+    batch = [0 if i < 200 else 1 + (i - 200) // 25 for i in range(400)]
+    monkeypatch.setattr(batch_dedup, "build_index", None)  # a query over the tables stores no graphs
+    monkeypatch.setattr(batch_dedup, "QUERY_BLOCK", 10)
+    got = batch_dedup.repeats(assets(spark, *[asset(i, f"{c:016x}", batch_id=b) for i, (c, b) in enumerate(zip(codes, batch))]), fanout=3, shard_codes=20)
+    want = {i: min((j for j in range(i) if (codes[i] ^ codes[j]).bit_count() <= 6), default=None) for i in range(200, 400)}
+    assert {r["ord"]: r["match_ord"] for r in got.collect()} == want and sum(v is not None for v in want.values()) > 50
+
+
 def test_stored_index_gives_the_same_batch_by_batch(spark, tmp_path):
     rng = random.Random(44)
     base = [rng.getrandbits(64) for _ in range(60)]

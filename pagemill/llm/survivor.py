@@ -160,18 +160,45 @@ def latest_fields(rows: DataFrame, precedence: dict[str, dict[str, set[str]]]) -
     return chosen.groupBy("group_ord").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in FIELDS])
 
 
-def latest_rows(rows: DataFrame) -> DataFrame:
-    """Per group the rows with a time that no other row with a time is later than: the maximal ones of
-    the order of times, in which rows of one instant are not ordered. Sizes of the group come along."""
-    tops = rows.groupBy("group_ord").agg(F.count("*").alias("rows"), F.max("at").alias("last"), F.max("present").alias("most_present"), F.max("area").alias("most_area"))
-    return rows.join(tops, "group_ord").where(F.col("at") == F.col("last"))
+def surviving_rows(rows: DataFrame, precedence: dict[str, dict[str, set[str]]]) -> DataFrame:
+    """(group_ord, best_ord, exact): per group its topologically latest row, and whether that row alone
+    reaches the group's maximum of present fields, area and time.
+
+    The group's partial order: a row is later than one that it equals or exceeds in time (no time is
+    before every time), present fields and area, and exceeds in one of them. Among the rows that no
+    other is later than, learned precedence orders what these leave open; where it would contradict
+    them it has no say, so there are no circles. Of several latest rows the one of smallest ord survives.
+
+    The rows of one profile of attribute values are aggregated first, as in ``latest_fields``: its
+    latest row, of these the largest, stands for it. A row that is best in everything is that row, and
+    then it is the only one that no other is later than.
+    """
+    profile = F.struct(*[F.col(a).cast("string").alias(a) for a in ATTRIBUTES])
+    equal = rows.groupBy("group_ord", "present", profile.alias("profile"), "at", "area").agg(F.count("*").alias("n"), F.min("ord").alias("ord"))
+    r = F.max(F.struct("at", "area", (-F.col("ord")).alias("o"), "n", "present", "profile")).alias("r")
+    # the largest area of a group need not be that of a profile's latest row
+    profiles = equal.groupBy("group_ord", "profile").agg(r, F.max("area").alias("area"))
+    groups = profiles.groupBy("group_ord").agg(F.collect_list("r").alias("all"), F.max("area").alias("area"), *[F.max(F.col("r")[m]).alias(m) for m in ("at", "present")])
+
+    def above(x: Column, y: Column) -> Column:
+        """Whether ``y`` is later than ``x`` by the measures."""
+        order = [(x[m].isNull() & y[m].isNotNull()) | F.coalesce(x[m] < y[m], F.lit(False)) for m in ("at", "present", "area")]
+        same = [x[m].eqNullSafe(y[m]) for m in ("at", "present", "area")]
+        return (order[0] | same[0]) & (order[1] | same[1]) & (order[2] | same[2]) & (order[0] | order[1] | order[2])
 
+    compare = later(precedence)
+    open_ = F.filter("all", lambda x: ~F.exists("all", lambda y: above(x, y)))
+    last = F.filter("open", lambda x: ~F.exists("open", lambda y: compare(x["profile"], y["profile"])))
+    first = F.array_max(F.transform("last", lambda x: F.struct(x["o"].alias("o"), x["at"].alias("at"), x["present"].alias("present"), x["area"].alias("area"))))
+    best = lambda x: F.coalesce((x["at"] == F.col("at")) & (x["present"] == F.col("present")) & (x["area"] == F.col("area")), F.lit(False))
+    number = F.aggregate(F.filter("all", best), F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
+    out = groups.withColumn("open", open_).withColumn("last", last).withColumn("s", first)
+    return out.select("group_ord", (-F.col("s.o")).alias("best_ord"), (best(F.col("s")) & (number == 1)).alias("exact"))
 
-def best_of(rows: DataFrame) -> DataFrame:
-    """(group_ord, best_ord): of the latest rows the one that has the group's most present fields and
-    largest area too, if it is the only one."""
-    exact = latest_rows(rows).where("present = most_present and area = most_area")
-    return exact.groupBy("group_ord").agg(F.count("*").alias("n"), F.min("ord").alias("best_ord")).where("n = 1").select("group_ord", "best_ord")
+
+def best_of(rows: DataFrame, precedence: dict[str, dict[str, set[str]]]) -> DataFrame:
+    """(group_ord, best_ord) of the groups whose surviving row is the only one best in everything."""
+    return surviving_rows(rows, precedence).where("exact").select("group_ord", "best_ord")
 
 
 def survivors(assets: DataFrame, radius: int = 6) -> DataFrame:
@@ -183,14 +210,15 @@ def survivors(assets: DataFrame, radius: int = 6) -> DataFrame:
     missing time is no time; an empty table gives no rows; extra columns do not matter.
     """
     rows = grouped(assets, radius)
-    fields = latest_fields(rows, learn_precedence(rows))
+    precedence = learn_precedence(rows)
+    fields = latest_fields(rows, precedence)
     size = F.max(F.when(F.col("area") > 0, F.struct("area", "at", (-F.col("ord")).alias("o"), F.col("row.width").alias("width"), F.col("row.height").alias("height"))))
     sizes = rows.groupBy("group_ord").agg(F.count("*").alias("rows"), size.alias("s")).select("group_ord", "rows", F.col("s.width").alias("width"), F.col("s.height").alias("height"))
-    return sizes.join(best_of(rows), "group_ord", "left").join(fields, "group_ord", "left").select("group_ord", "rows", "best_ord", *FIELDS, "width", "height")
+    return sizes.join(best_of(rows, precedence), "group_ord", "left").join(fields, "group_ord", "left").select("group_ord", "rows", "best_ord", *FIELDS, "width", "height")
 
 
 def best_rows(assets: DataFrame, radius: int = 6) -> DataFrame:
-    """(group_ord, best_ord) of the groups in which one row is best in everything: a latest row of the
-    group's order of times, checked for the other two measures. Learned precedence has no part in
-    this, it ranks rows without a time, and such a row is never best."""
-    return best_of(grouped(assets, radius))
+    """(group_ord, best_ord) of the groups in which one row is best in everything: the surviving row of
+    the group's order of times, measures and learned precedence, checked for all three measures."""
+    rows = grouped(assets, radius)
+    return best_of(rows, learn_precedence(rows))

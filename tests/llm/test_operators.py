@@ -401,6 +401,25 @@ def test_currency_places_rows_without_a_time(spark):
     assert got[901]["best_ord"] is None or got[901]["best_ord"] == 902
 
 
+def test_surviving_row_by_learned_precedence(spark, monkeypatch):
+    t = "2024-0{}-01T00:00:00Z".format
+    # png follows jpg wherever both have times
+    rows = [r for g in range(5) for r in (asset(100 * g + 1, None, f"g{g}", image_path=f"{g}.jpg"), asset(100 * g + 2, None, f"g{g}", image_path=f"{g}.png", fetched_at=t(2)))]
+    rows += [asset(801, None, "i", image_path="i.jpg"), asset(802, None, "i", image_path="i.png"), asset(803, None, "i", image_path="i.gif", width=4)]  # one instant: 801 and 802 tie
+    rows += [asset(811, None, "j", image_path="j.png", width=50, fetched_at=None), asset(812, None, "j", image_path="j.jpg", fetched_at=t(3))]  # neither is best in everything
+    rows += [asset(821, None, "k", image_path="k.jpg", fetched_at=t(3)), asset(822, None, "k", image_path="k.png", fetched_at=None)]  # png follows, but has no time
+    rows += [asset(831, None, "l", image_path="l.jpg", fetched_at=t(5)), asset(832, None, "l", image_path="l.jpg", width=11, fetched_at=t(4))]  # 832 is larger and of the profile of 831
+    rows += [asset(841, None, "m", image_path="m.jpg", fetched_at=None), asset(842, None, "m", image_path="m.png", fetched_at=None)]
+    a, learned = assets(spark, *rows), []
+    g = survivor.grouped(a)
+    got = {r["group_ord"]: (r["best_ord"], r["exact"]) for r in survivor.surviving_rows(g, survivor.learn_precedence(g)).collect()}
+    assert {k: v for k, v in got.items() if k > 800} == {801: (802, False), 811: (811, False), 821: (821, True), 831: (831, False), 841: (842, False)}
+    learn = survivor.learn_precedence
+    monkeypatch.setattr(survivor, "learn_precedence", lambda r: learned.append(learn(r)) or learned[0])
+    assert sorted(tuple(r) for r in survivor.best_rows(a).collect()) == [*((100 * g + 1, 100 * g + 2) for g in range(5)), (821, 821)]
+    assert "png" in learned[0]["kind"]["jpg"]
+
+
 def test_instants(spark):
     df = spark.createDataFrame([("2024-01-01T02:00:00+02:00",), ("2024-01-01T00:00:00Z",), ("2024-01-01T00:00:00",), ("x",), ("",), (None,)], "t string")
     got = [r[0] for r in df.select(survivor.instant(F.col("t")).cast("double")).collect()]
